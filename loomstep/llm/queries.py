@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, mixing, quality_rules, sharding, simhash
-from .common import documents
+from . import bigru, crf, exact, mixing, nbsvm, packing, quality_rules, sharding, simhash, token_shards
+from .common import documents, held_out, labels
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,26 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+LEAST_SCORE = 0.3  # from here a score counts as label 1
+
+
+def vocabulary() -> str:
+    """The tokenizer's file, which is no part of this repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def _predicted(found: DataFrame, parts: int, part: int) -> DataFrame:
+    return found.select(F.col("id").alias("doc_id"), held_out(F.col("id"), parts, part).alias("held_out"), "score", (F.col("score") >= LEAST_SCORE).cast("int").alias("predicted"))
+
+
+def op2_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = crf.train(docs, labels(spark, sf_dir), "toxic", ~held_out(F.col("doc_id"), 4, 2))
+    return _predicted(crf.tag(docs, model).select("id", "score"), 4, 2)
+
+
 def op3_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharding.sharded(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
@@ -26,22 +46,51 @@ def op4_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
 
 
+def op5_dp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack(documents(spark, sf_dir).select("doc_id", "text"), vocabulary())
+    return found.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.rule_report(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of the shards written: each sequence's slot and place, its documents and the crc32 of its bytes."""
+    found = token_shards.write_token_shards(documents(spark, sf_dir).select("doc_id", "text"), vocabulary())
+    return found.withColumnRenamed("docs", "doc_ids")
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source"))
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"), (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
+def op9_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = nbsvm.train(docs, labels(spark, sf_dir), "quality", ~held_out(F.col("doc_id"), 5, 0))
+    return _predicted(nbsvm.score(docs, model), 5, 0)
+
+
+def op10_bigru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = bigru.train(docs, ~held_out(F.col("doc_id"), 5, 0))
+    found = bigru.identify(docs, model)
+    return found.select(F.col("id").alias("doc_id"), held_out(F.col("id"), 5, 0).alias("held_out"), F.col("lang").alias("lang_pred"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_crf_toxicity": op2_crf_toxicity,
     "op3_histogram_sort": op3_histogram_sort,
     "op4_radix_dedup": op4_radix_dedup,
+    "op5_dp_packing": op5_dp_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_feistel_shards": op7_feistel_shards,
     "op8_source_mix": op8_source_mix,
+    "op9_nbsvm_quality": op9_nbsvm_quality,
+    "op10_bigru_language": op10_bigru_language,
 }
 SPACE_SQL = r"[\x20\x09-\x0D]"
 
