@@ -48,6 +48,17 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until ``df`` has no such column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_of(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

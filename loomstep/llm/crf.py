@@ -236,6 +236,6 @@ def tag(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: st
                     start = starts_of(sizes)
                     for d in np.unique(doc[p[high] > 0.5]):
                         found[d] = spans(part.column(1)[int(d)].as_py(), p[start[d] : start[d] + sizes[d]])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.clip(score, 0, 1)), pa.array(found, span)], ["id", "score", "spans"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.clip(score, 0, 1) + 0.0), pa.array(found, span)], ["id", "score", "spans"])
 
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, score double, spans array<struct<start:bigint,end:bigint,p:double>>")

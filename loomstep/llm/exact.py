@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, without_space, written
+from .common import free_names, text_of, without_space, written
 
 FIRST, WIDER, WIDEST = 64, 8, 1 << 20  # bytes of the first block; factor of the next one; the widest
 
@@ -66,13 +66,14 @@ def keep_first_of_copies(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """The rows of ``df`` that stay. Rows of a repeated id are told apart by code points and normalised text; those alike in
     all three are copies of each other, and one of them stays at most."""
     found = written(exact_groups(df, id_col, text_col, **how).select("id", "code_points", "sha256", "kept"), "radix-kept")
+    key, points, digest, n = free_names(df, "__id", "__code_points", "__sha256", "__n")
     if found.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        gone = found.where("not kept").select(F.col("id").alias("__id"))
-        return df.join(gone, df[id_col].eqNullSafe(gone["__id"]), "left_anti")
+        gone = found.where("not kept").select(F.col("id").alias(key))
+        return df.join(gone, df[id_col].eqNullSafe(gone[key]), "left_anti")
     text = text_of(text_col)
-    own = df.withColumns({"__c": F.length(text).cast("long"), "__h": F.sha2(without_space(text).cast("binary"), 256)})
-    stay = found.groupBy("id", "code_points", "sha256").agg(F.count("*").alias("__n"), F.max("kept").alias("__kept")).where("__kept")
-    match = own[id_col].eqNullSafe(stay["id"]) & (own["__c"] == stay["code_points"]) & (own["__h"] == stay["sha256"])
-    both = own.join(stay, match)
-    one = both.where("__n > 1").dropDuplicates([id_col, "__c", "__h"])
-    return both.where("__n = 1").unionByName(one).select(*[own[c] for c in df.columns])
+    own = df.withColumns({points: F.length(text).cast("long"), digest: F.sha2(without_space(text).cast("binary"), 256)})
+    stay = found.groupBy("id", "code_points", "sha256").agg(F.count("*").alias(n), F.max("kept").alias("kept")).where("kept")
+    stay = stay.select(F.col("id").alias(key), F.col("code_points").alias(points + "_"), F.col("sha256").alias(digest + "_"), n)
+    both = own.join(stay, own[id_col].eqNullSafe(stay[key]) & (own[points] == stay[points + "_"]) & (own[digest] == stay[digest + "_"]))
+    one = both.where(F.col(n) > 1).dropDuplicates([key, points, digest])
+    return both.where(F.col(n) == 1).unionByName(one).select(*df.columns)

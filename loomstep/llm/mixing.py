@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, free_names, written
 
 WEIGHTS, MOST, SEED = (5, 2, 1), 3, 7
 
@@ -62,7 +62,9 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 def mixed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
     """The mix itself: each row of ``df`` as often as it is taken, in ``df``'s columns. The rates join to the rows, whose
     text is moved by no exchange as long as the table of sources is small enough for Spark to broadcast."""
-    goal = written(targets(sized(df, id_col, text_col, source_col), weights, most), "targets").select(F.col("source").alias("__s"), F.col("rate").alias("__rate"))
-    copies = F.floor("__rate") + (unit(id_col, text_col) < F.col("__rate") - F.floor("__rate")).cast("long")
-    joined = df.join(goal, df[source_col].eqNullSafe(goal["__s"])).withColumn("__copies", copies.cast("int"))
-    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(*[df[c] for c in df.columns])
+    name, rate, copies, one = free_names(df, "__source", "__rate", "__copies", "__copy")
+    goal = written(targets(sized(df, id_col, text_col, source_col), weights, most), "targets").select(F.col("source").alias(name), F.col("rate").alias(rate))
+    whole = F.floor(rate)
+    taken = whole + (unit(id_col, text_col) < F.col(rate) - whole).cast("long")
+    joined = df.join(goal, df[source_col].eqNullSafe(goal[name])).withColumn(copies, taken.cast("int"))
+    return joined.withColumn(one, F.explode(F.array_repeat(F.lit(0), F.col(copies)))).select(*df.columns)

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import new_path, utf8_size, written
+from .common import free_names, new_path, utf8_size, written
 
 SHARDS, PROBES, TOLERANCE = 8, 15, 0.0005
 DIGITS = 48  # three longs in hexadecimal
@@ -119,5 +119,6 @@ def write_shards(df: DataFrame, path: str | None = None, id_col: str = "doc_id",
     keys = keyed(df, id_col, text_col)
     bounds = [b[:32] for b in splitters(keys, shards, tolerance=tolerance)]
     key = F.concat(_hex(F.xxhash64(F.lit(1), F.col(text_col))), _hex(F.xxhash64(F.lit(2), F.col(id_col))))
-    df.withColumn("shard", shard_of(key, bounds)).hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
+    (shard,) = free_names(df, "shard")
+    df.withColumn(shard, shard_of(key, bounds)).hint("rebalance", F.col(shard)).write.partitionBy(shard).parquet(path)
     return path

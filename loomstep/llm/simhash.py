@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import free_names, text_of, written
 
 SHINGLE, BITS, SEED, HOT_LIST = 4, 4, 42, 16384
 BLOCK = 16384  # hashes whose bits are counted at a time
@@ -212,11 +212,11 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def one_of_each_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``df`` whose id names their component. Of repeated ids in such rows one stays; rows without an id stay."""
+    key, n = free_names(df, "__id", "__n")
     groups = simhash_components(df, id_col, text_col, **how)
-    stay = groups.where("id = component").groupBy(F.col("id").alias("__id")).agg(F.count("*").alias("__n"))
-    stay = written(stay, "stay")
-    out = df.join(stay, df[id_col] == stay["__id"], "left").where(F.col("__id").isNotNull() | df[id_col].isNull())
-    if not stay.where("__n > 1").isEmpty():
-        twice, once = out.where("__n > 1"), out.where("coalesce(__n, 1) = 1")
-        out = once.unionByName(twice.dropDuplicates(["__id"]))
-    return out.drop("__id", "__n")
+    stay = written(groups.where("id = component").groupBy(F.col("id").alias(key)).agg(F.count("*").alias(n)), "stay")
+    out = df.join(stay, df[id_col] == stay[key], "left").where(F.col(key).isNotNull() | F.col(id_col).isNull())
+    if not stay.where(F.col(n) > 1).isEmpty():
+        twice, once = out.where(F.col(n) > 1), out.where(F.coalesce(F.col(n), F.lit(1)) == 1)
+        out = once.unionByName(twice.dropDuplicates([key]))
+    return out.select(*df.columns)
