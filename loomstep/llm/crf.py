@@ -55,7 +55,8 @@ def _families(docs: list[set[str]], rows: int = 5, bands: int = 10) -> np.ndarra
     mult = rng.integers(1, 1 << 63, rows * bands, dtype=np.uint64) | np.uint64(1)
     seen: dict[tuple, int] = {}
     for i, d in enumerate(docs):
-        hashes = np.array([zlib.crc32(w.encode()) for w in d if len(w) > 5] or [i], np.uint64)
+        long = [w for w in d if len(w) > 5]
+        hashes = np.array([zlib.crc32(w.encode()) for w in (long if len(long) > 9 else d)] or [i], np.uint64)
         least = ((hashes[:, None] * mult) >> np.uint64(20)).min(axis=0).tolist()
         for b in range(bands):
             root[find(i)] = find(seen.setdefault((b, *least[b * rows : (b + 1) * rows]), i))
