@@ -39,7 +39,8 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         groups = cut.groupBy("g", "block").agg(F.count("*").alias("n")).where("n > 1")
         groups = written(groups.withColumn("new_g", F.monotonically_increasing_id()), "radix-groups")
         ended = F.octet_length("block") < width
-        split = cut.join(groups, ["g", "block"], "left").select(
+        # Merged at every size: Spark can split a large group's rows, and a small table does not change what is moved.
+        split = cut.join(groups.hint("merge"), ["g", "block"], "left").select(
             *narrow,
             F.col("new_g").alias("g"),
             F.when(F.col("n").isNull(), 0).when(ended, 1).otherwise(2).alias("state"),
@@ -69,7 +70,7 @@ def keep_first_of_copies(df: DataFrame, id_col: str = "doc_id", text_col: str =
     key, points, digest, n = free_names(df, "__id", "__code_points", "__sha256", "__n")
     if found.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
         gone = found.where("not kept").select(F.col("id").alias(key))
-        return df.join(gone, df[id_col].eqNullSafe(gone[key]), "left_anti")
+        return df.join(gone.hint("merge"), df[id_col].eqNullSafe(gone[key]), "left_anti")
     text = text_of(text_col)
     own = df.withColumns({points: F.length(text).cast("long"), digest: F.sha2(without_space(text).cast("binary"), 256)})
     stay = found.groupBy("id", "code_points", "sha256").agg(F.count("*").alias(n), F.max("kept").alias("kept")).where("kept")
