@@ -3,18 +3,30 @@ the matrix or its first two columns. Every conversion goes through the matrix, a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 KINDS = ("matrix", "quaternion", "axis_angle", "rotation_6d", "euler_angles_xyz", "euler_angles_xzy", "euler_angles_yxz", "euler_angles_yzx", "euler_angles_zxy", "euler_angles_zyx")
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once: a column used many times would otherwise be written out each time, and
+    compositions would grow without bound."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _at(v: Column, *places: int) -> list[Column]:
     return [F.get(v, F.lit(p)) for p in places]
 
 
-def from_quaternion(q: Column) -> Column:
+def from_quaternion(value: Column) -> Column:
     """Real part first; not necessarily of unit length."""
+    return _let(value, _from_quaternion)
+
+
+def _from_quaternion(q: Column) -> Column:
     r, i, j, k = _at(q, 0, 1, 2, 3)
     s = 2.0 / (r * r + i * i + j * j + k * k)
     return F.array(
@@ -24,8 +36,12 @@ def from_quaternion(q: Column) -> Column:
     )
 
 
-def to_quaternion(m: Column) -> Column:
+def to_quaternion(value: Column) -> Column:
     """Real part first and not negative; by the largest of the four squares, so no division by a small number."""
+    return _let(value, _to_quaternion)
+
+
+def _to_quaternion(m: Column) -> Column:
     m00, m01, m02, m10, m11, m12, m20, m21, m22 = _at(m, *range(9))
     w, x, y, z = (F.greatest(F.lit(0.0), 1 + a * m00 + b * m11 + c * m22) for a, b, c in ((1, 1, 1), (1, -1, -1), (-1, 1, -1), (-1, -1, 1)))
     rows = [
@@ -42,15 +58,23 @@ def to_quaternion(m: Column) -> Column:
     return out
 
 
-def quaternion_from_axis_angle(v: Column) -> Column:
+def quaternion_from_axis_angle(value: Column) -> Column:
+    return _let(value, _quaternion_from_axis_angle)
+
+
+def _quaternion_from_axis_angle(v: Column) -> Column:
     x, y, z = _at(v, 0, 1, 2)
     angle = F.sqrt(x * x + y * y + z * z)
     s = F.when(angle < 1e-6, 0.5 - angle * angle / 48).otherwise(F.sin(angle / 2) / F.nullif(angle, F.lit(0.0)))
     return F.array(F.cos(angle / 2), x * s, y * s, z * s)
 
 
-def axis_angle_from_quaternion(q: Column) -> Column:
+def axis_angle_from_quaternion(value: Column) -> Column:
     """Real part first."""
+    return _let(value, _axis_angle_from_quaternion)
+
+
+def _axis_angle_from_quaternion(q: Column) -> Column:
     r, i, j, k = _at(q, 0, 1, 2, 3)
     n = F.sqrt(i * i + j * j + k * k)
     angle = 2 * F.atan2(n, r)
@@ -58,8 +82,12 @@ def axis_angle_from_quaternion(q: Column) -> Column:
     return F.array(i / s, j / s, k / s)
 
 
-def axis_angle_from_quaternion_xyzw(q: Column) -> Column:
+def axis_angle_from_quaternion_xyzw(value: Column) -> Column:
     """Real part last, clipped to [-1, 1]; next to no turn gives zeros."""
+    return _let(value, _axis_angle_from_quaternion_xyzw)
+
+
+def _axis_angle_from_quaternion_xyzw(q: Column) -> Column:
     x, y, z, w = _at(q, 0, 1, 2, 3)
     w = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), w))
     den = F.sqrt(1 - w * w)
@@ -71,12 +99,20 @@ def _unit(*v: Column) -> list[Column]:
     return [p / n for p in v]
 
 
-def from_6d(v: Column, as_columns: bool = False) -> Column:
+def from_6d(value: Column, as_columns: bool = False) -> Column:
     """Gram-Schmidt. The two vectors of three become the first two rows of the matrix, or its columns."""
-    a, b = _at(v, 0, 1, 2), _at(v, 3, 4, 5)
-    b1 = _unit(*a)
-    along = b1[0] * b[0] + b1[1] * b[1] + b1[2] * b[2]
-    b2 = _unit(*[y - along * x for x, y in zip(b1, b)])
+    first = lambda v: _let(F.array(*_unit(*_at(v, 0, 1, 2))), lambda u: second(u, _at(v, 3, 4, 5)))
+
+    def second(u: Column, b: list[Column]) -> Column:
+        b1 = _at(u, 0, 1, 2)
+        rest = _let(b1[0] * b[0] + b1[1] * b[1] + b1[2] * b[2], lambda along: F.array(*[y - along * x for x, y in zip(b1, b)]))
+        return _let(_let(rest, lambda r: F.array(*_unit(*_at(r, 0, 1, 2)))), lambda w: _third(u, w, as_columns))
+
+    return _let(value, first)
+
+
+def _third(u: Column, w: Column, as_columns: bool) -> Column:
+    b1, b2 = _at(u, 0, 1, 2), _at(w, 0, 1, 2)
     b3 = [b1[1] * b2[2] - b1[2] * b2[1], b1[2] * b2[0] - b1[0] * b2[2], b1[0] * b2[1] - b1[1] * b2[0]]
     if as_columns:
         return F.array(*[x for row in zip(b1, b2, b3) for x in row])
@@ -102,17 +138,25 @@ def _times(a: list[list[Column]], b: list[list[Column]]) -> list[list[Column]]:
 
 def from_euler(v: Column, order: str) -> Column:
     """R(first) R(second) R(third) for the axes in ``order``."""
-    p, q, r = (_axis(a, x) for a, x in zip(order, _at(v, 0, 1, 2)))
-    return F.array(*[x for row in _times(_times(p, q), r) for x in row])
+
+    def product(angles: Column) -> Column:
+        p, q, r = (_axis(a, x) for a, x in zip(order, _at(angles, 0, 1, 2)))
+        return F.array(*[x for row in _times(_times(p, q), r) for x in row])
+
+    return _let(v, product)
 
 
 def to_euler(m: Column, order: str) -> Column:
     """Angles of three different axes; the middle one is within half a turn."""
     i, j, k = ("xyz".index(a) for a in order)
-    at = lambda r, c: F.get(m, F.lit(3 * r + c))
     sign = 1.0 if (j - i) % 3 == 1 else -1.0
-    middle = F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), sign * at(i, k))))
-    return F.array(F.atan2(-sign * at(j, k), at(k, k)), middle, F.atan2(-sign * at(i, j), at(i, i)))
+
+    def angles(own: Column) -> Column:
+        at = lambda r, c: F.get(own, F.lit(3 * r + c))
+        middle = F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), sign * at(i, k))))
+        return F.array(F.atan2(-sign * at(j, k), at(k, k)), middle, F.atan2(-sign * at(i, j), at(i, i)))
+
+    return _let(m, angles)
 
 
 def to_matrix(v: Column, kind: str) -> Column:

@@ -65,7 +65,7 @@ def prefixed(key: Column, kind: str) -> Column:
 def human_bytes(size: Column) -> Column:
     out = None
     for power, unit in enumerate(UNITS):
-        text = F.format_string(f"%.2f {unit}", size / float(1024**power))
+        text = F.format_string(f"%.2f {unit}", F.bround(size / float(1024**power), 2))
         below = F.abs(size) < float(1024 ** (power + 1)) if power < len(UNITS) - 1 else F.lit(True)
         out = F.when(below, text) if out is None else out.when(below, text)
     return out

@@ -29,7 +29,8 @@ def adaptive_ensemble(chunks: DataFrame, episode: Sequence[str], start: str, chu
 def sessions(df: DataFrame, client: Sequence[str], order: Sequence[str], marker: str, name: str = "session") -> DataFrame:
     """A new session begins where the marker (a task's text) differs from that of the step before."""
     w = Window.partitionBy(*client).orderBy(*order)
-    changed = F.coalesce(~F.lag(marker).over(w).eqNullSafe(F.col(marker)), F.lit(False))
+    before = F.lag(F.struct(F.col(marker).alias("m"))).over(w)
+    changed = before.isNotNull() & ~before["m"].eqNullSafe(F.col(marker))
     return df.withColumn("__c", changed.cast("int")).withColumn(name, F.sum("__c").over(w)).drop("__c")
 
 
