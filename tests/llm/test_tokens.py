@@ -27,7 +27,7 @@ ODD = ["it's can't 'S DON'T", "İstanbul ΣΑΣ Σ. ΑΣ", "é Å ﬁ", "a b
 
 def test_words_in_a_row_are_the_whole_text(whole, edge):
     texts = ODD + [r["text"] for r in edge.collect()]
-    own = WordTokenizer(vocabulary(), cache_words=50)
+    own = WordTokenizer(vocabulary(), cache_runs=50)
     for _ in range(2):
         ids, sizes = own.encode(pa.array(texts, pa.string()))
         at = np.split(ids, np.cumsum(sizes)[:-1])
