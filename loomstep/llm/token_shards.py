@@ -30,7 +30,7 @@ from .packing import SLICE_BYTES
 from .tokens import END, tokenizer
 
 LENGTH, PER_SHARD, KEY, ROUNDS = 2048, 8192, 20240229, 6
-U = np.uint64
+U, CODEC = np.uint64, ("zstd", 1)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -56,11 +56,12 @@ def feistel(index: np.ndarray, n: int, key: int = KEY, rounds: int = ROUNDS) ->
 
 
 def sequences(df: DataFrame, tokenizer_path: str, id_col: str, text_col: str, length: int) -> DataFrame:
-    """(part, place, n_tokens, docs, ids): rows of ``length`` ids as uint16 bytes, and the documents that each has ids of."""
+    """(part, place, n_tokens, docs, ids): rows of ``length`` ids as compressed uint16 bytes, and the documents that each has
+    ids of. They stay compressed until they are in their shard, on disk and in the exchange."""
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, part, place = tokenizer(tokenizer_path), TaskContext.get().partitionId(), 0
+        own, part, place, codec = tokenizer(tokenizer_path), TaskContext.get().partitionId(), 0, pa.Codec(*CODEC)
         ids, names, ends, id_type = np.empty(0, np.uint32), [], np.empty(0, np.int64), None
 
         def out(count: int, real: int) -> pa.RecordBatch:
@@ -76,7 +77,7 @@ def sequences(df: DataFrame, tokenizer_path: str, id_col: str, text_col: str, le
                     pa.array(place + rows),
                     pa.array(np.minimum(length, real - rows * length)),
                     pa.array([names[a:b] for a, b in zip(first, last)], pa.list_(id_type)),
-                    pa.array([raw[k * size : (k + 1) * size] for k in rows], pa.binary()),
+                    pa.array([codec.compress(raw[k * size : (k + 1) * size], asbytes=True) for k in rows], pa.binary()),
                 ],
                 ["part", "place", "n_tokens", "docs", "ids"],
             )
@@ -130,7 +131,7 @@ def write_token_shards(df: DataFrame, tokenizer_path: str, path: str | None = No
         """Rows come by slot; a shard's rows are all in this partition."""
         fs, folder = _place(path)
         fs.create_dir(folder, recursive=True)
-        open_shard, sink, tried = None, None, ""
+        open_shard, sink, tried, codec = None, None, "", pa.Codec(*CODEC)
 
         def close() -> None:
             if sink is not None:
@@ -139,17 +140,18 @@ def write_token_shards(df: DataFrame, tokenizer_path: str, path: str | None = No
 
         for b in batches:
             shard = b.column("shard").to_numpy(zero_copy_only=False)
-            edge = np.flatnonzero(np.diff(shard)) + 1
+            edge, crc = np.flatnonzero(np.diff(shard)) + 1, []
             for a, z in zip(np.r_[0, edge], np.r_[edge, len(shard)]):
                 if len(shard) and shard[a] != open_shard:
                     close()
                     open_shard, tried = int(shard[a]), f"{folder}/.{uuid.uuid4().hex}"
                     sink = fs.open_output_stream(tried)
                 for x in b.column("ids")[a:z]:
-                    sink.write(x.as_buffer())
-            crc = pa.array([zlib.crc32(x.as_buffer()) for x in b.column("ids")], pa.int64())
+                    raw = codec.decompress(x.as_buffer(), 2 * length)
+                    crc.append(zlib.crc32(raw))
+                    sink.write(raw)
             row = pa.array(b.column("slot").to_numpy(zero_copy_only=False) % per_shard)
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in ("slot", "shard")), row, *(b.column(k) for k in ("sequence", "n_tokens", "docs")), crc], ["slot", "shard", "row", "sequence", "n_tokens", "docs", "crc32"])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in ("slot", "shard")), row, *(b.column(k) for k in ("sequence", "n_tokens", "docs")), pa.array(crc, pa.int64())], ["slot", "shard", "row", "sequence", "n_tokens", "docs", "crc32"])
         close()
 
     n = max(1, -(-total // per_shard))
