@@ -1,7 +1,8 @@
 """Per-session operators over streams of requests, keyed by session: the state that clients of a policy server keep.
 
 Each is a Structured Streaming operator with arbitrary state (``applyInPandasWithState``); its batch form, which gives the
-same rows, is in :mod:`loomstep.operators`. State of a session that stays silent is dropped after ``idle``.
+same rows, is in :mod:`loomstep.operators`. State of a session that stays silent is dropped after ``idle``
+milliseconds (0: never; use that with an availableNow trigger, which would wait for time-outs without end).
 """
 
 from __future__ import annotations

@@ -33,29 +33,30 @@ def rows_of(df, *columns):
 
 def test_sticky_gripper(spark, stream, tmp_path):
     batch, live = stream
-    got = run(spark, P.sticky_gripper(live(), ["s"], 4), tmp_path, "gripper")
+    got = run(spark, P.sticky_gripper(live(), ["s"], 4, idle=0), tmp_path, "gripper")
     assert rows_of(got, "s", "t", "gripper") == rows_of(E.sticky_gripper(batch, ["s"], ["t"], "opening", 4), "s", "t", "gripper")
 
 
 def test_delta_decode(spark, stream, tmp_path):
     batch, live = stream
-    got = run(spark, P.delta_decode(live(), ["s"], 10.0), tmp_path, "decode")
+    got = run(spark, P.delta_decode(live(), ["s"], 10.0, idle=0), tmp_path, "decode")
     assert rows_of(got, "s", "t", "action") == rows_of(N.decode_actions(batch, ["s"], ["t"], "value", "delta", F.lit(10.0)), "s", "t", "action")
 
 
 def test_chunk_cache(spark, stream, tmp_path):
     batch, live = stream
     firsts = F.transform("chunk", lambda v: F.get(v, F.lit(0)))
-    got = run(spark, P.chunk_cache(live().withColumn("chunk", firsts), ["s"], 3), tmp_path, "cache")
+    got = run(spark, P.chunk_cache(live().withColumn("chunk", firsts), ["s"], 3, idle=0), tmp_path, "cache")
     assert rows_of(got, "s", "t", "action") == rows_of(W.replan(batch.withColumn("c", firsts), ["s"], ["t"], "c", 3), "s", "t", "action")
 
 
 def test_ensemble(spark, stream, tmp_path):
     batch, live = stream
-    got = run(spark, P.ensemble(live(), ["s"], 0.6), tmp_path, "mean")
+    got = run(spark, P.ensemble(live(), ["s"], 0.6, idle=0), tmp_path, "mean")
     want = N.adaptive_ensemble(batch, ["s"], "t", "chunk", 0.6).where("step < 20")
     flat = got.select("s", F.col("t").alias("step"), F.posexplode("action").alias("pos", "value"))
-    assert rows_of(flat, "s", "step", "pos", "value") == pytest.approx(rows_of(want, "s", "step", "pos", "value"))
+    for a, b in zip(rows_of(flat, "s", "step", "pos", "value"), rows_of(want, "s", "step", "pos", "value"), strict=True):
+        assert a == pytest.approx(b)
 
 
 def test_success_windows(spark, stream, tmp_path):
