@@ -80,10 +80,22 @@ def check_offsets(offsets: Sequence[int], horizon: int) -> None:
         raise ValueError(f"offsets {list(offsets)} are no evenly spaced history of {horizon} steps")
 
 
-def running_offset(df: DataFrame, length: str, order: Sequence[str], name: str = "offset", by: Sequence[str] = ()) -> DataFrame:
-    """The sum of the lengths before each row."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn(name, F.sum(length).over(w) - F.col(length))
+def running_offset(df: DataFrame, length: str, order: Sequence[str], name: str = "offset", by: Sequence[str] = (), width: int = 1 << 16) -> DataFrame:
+    """The sum of the lengths before each row. Over a whole table ordered by a whole number, stretches of ``width`` numbers
+    are summed first, so one window runs over the stretches and one within each, and none over all rows."""
+    if by:
+        w = Window.partitionBy(*by).orderBy(*order)
+        return df.withColumn(name, F.sum(length).over(w) - F.col(length))
+    own = df.withColumn("__s", F.floor(F.col(order[0]) / F.lit(width)))
+    sums = own.groupBy("__s").agg(F.sum(length).alias("__n"))
+    before = sums.select("__s", (F.sum("__n").over(Window.orderBy("__s")) - F.col("__n")).alias("__before"))
+    within = F.sum(length).over(Window.partitionBy("__s").orderBy(*order)) - F.col(length)
+    return own.withColumn(name, within).join(before, "__s").withColumn(name, F.col(name) + F.col("__before")).drop("__s", "__before")
+
+
+def place_in_order(df: DataFrame, key: str, name: str = "place") -> DataFrame:
+    """Row numbers from 0 by a whole-number key without repeats."""
+    return running_offset(df.withColumn("__one", F.lit(1).cast("long")), "__one", [key], name).drop("__one")
 
 
 def replan(df: DataFrame, episode: Sequence[str], order: Sequence[str], chunk_col: str, every: int, name: str = "action") -> DataFrame:

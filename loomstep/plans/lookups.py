@@ -122,13 +122,12 @@ def skip_without_language(spark, sf_dir):
 @query("P09_unique_index", "SELECT o_orderkey AS episode, row_number() OVER (ORDER BY o_orderkey) - 1 AS place FROM orders")
 def unique_index(spark, sf_dir):
     """Places of episode ids; an id that occurs twice ends the query."""
-    from pyspark.sql import Window
-
     from loomstep.operators.stats import require
+    from loomstep.operators.windows import place_in_order
 
     n = table(spark, sf_dir, "orders").groupBy(F.col("o_orderkey").alias("episode")).agg(F.count("*").alias("n"))
     once = require(n, F.col("n") == 1, "an episode id occurs twice")
-    return once.select("episode", (F.row_number().over(Window.orderBy("episode")) - 1).cast("long").alias("place"))
+    return place_in_order(once, "episode").select("episode", F.col("place").cast("long").alias("place"))
 
 
 @query("P11_indexed_access", "SELECT l_orderkey, l_linenumber, round(l_quantity, 4) AS quantity FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 400000)")

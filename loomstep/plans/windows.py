@@ -133,10 +133,8 @@ def global_index(spark, sf_dir):
     """The running index from episode offsets, so no window spans all rows."""
     s = steps(spark, sf_dir)
     e = s.groupBy("episode").agg(F.count("*").alias("length"))
-    from pyspark.sql import Window
-
-    e = W.running_offset(e, "length", ["episode"], "first").withColumn("episode_number", (F.row_number().over(Window.orderBy("episode")) - 1).cast("long"))
-    return s.join(e, "episode").select("episode", "t", (F.col("first") + F.col("t")).cast("long").alias("global_index"), "episode_number")
+    e = W.place_in_order(W.running_offset(e, "length", ["episode"], "first"), "episode", "episode_number")
+    return s.join(e, "episode").select("episode", "t", (F.col("first") + F.col("t")).cast("long").alias("global_index"), F.col("episode_number").cast("long").alias("episode_number"))
 
 
 @query(

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomstep.operators.windows import running_offset
+
 CACHE_VERSION = 2
 EPISODES = T.StructType([T.StructField("episode_index", T.LongType()), T.StructField("tasks", T.ArrayType(T.StringType())), T.StructField("length", T.LongType())])
 TASKS = T.StructType([T.StructField("task_index", T.LongType()), T.StructField("task", T.StringType())])
@@ -177,7 +179,7 @@ def write_dataset(steps: DataFrame, tasks: DataFrame, modality: Mapping, root: s
     """A version 2 dataset. Steps are clustered by chunk of episodes and sorted within, with their running index."""
     spark, root = steps.sparkSession, root.rstrip("/")
     lengths = steps.groupBy("episode_index").agg(F.count("*").alias("length"), F.collect_set("task_index").alias("task_ids"))
-    offsets = lengths.select("episode_index", (F.sum("length").over(Window.orderBy("episode_index")) - F.col("length")).alias("__first"))  # one row per episode
+    offsets = running_offset(lengths, "length", ["episode_index"], "__first").select("episode_index", "__first")
     rows = steps.join(offsets, "episode_index").withColumn("index", F.col("__first") + F.col("frame_index")).drop("__first")
     rows = rows.withColumn("chunk", F.format_string("%03d", episode_chunk(F.col("episode_index"), chunk_size)))
     rows.hint("rebalance", "chunk", "episode_index").sortWithinPartitions("chunk", "episode_index", "frame_index").write.mode("overwrite").partitionBy("chunk").parquet(f"{root}/data")
