@@ -74,10 +74,10 @@ def inverse_q99(spark, sf_dir):
     return _summary(_bounded(spark, sf_dir), V.denormalize(V.normalize(F.col("value"), "q99", low, high), "q99", low, high))
 
 
-@query("T07_cast_float", "SELECT vec_id, round(list_sum(embedding)::DOUBLE, 3) AS total, len(embedding) AS dims FROM embeddings")
+@query("T07_cast_float", "SELECT vec_id, round(list_sum([x::DOUBLE for x in embedding]), 3) + 0.0 AS total, len(embedding) AS dims FROM embeddings")
 def cast_float(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").withColumn("v", F.col("embedding").cast("array<double>").cast("array<float>"))
-    return e.select("vec_id", F.round(F.aggregate(F.col("v").cast("array<double>"), F.lit(0.0), lambda a, x: a + x), 3).alias("total"), F.size("v").cast("long").alias("dims"))
+    return e.select("vec_id", (F.round(F.aggregate(F.col("v").cast("array<double>"), F.lit(0.0), lambda a, x: a + x), 3) + 0.0).alias("total"), F.size("v").cast("long").alias("dims"))
 
 
 @query("T12_sin_cos", "SELECT vec_id, round(sin(embedding[1]::DOUBLE), 6) AS first, round(cos(embedding[64]::DOUBLE), 6) AS last, 2 * len(embedding) AS dims FROM embeddings")
@@ -124,10 +124,10 @@ def latest_from_history(spark, sf_dir):
     return e.select("episode", V.last_of(F.col("h"))["event_id"].alias("latest"))
 
 
-@query("T20_action_groups", "SELECT vec_id, round(list_sum(embedding[1:7])::DOUBLE, 4) AS arm, round(list_sum(embedding[8:13])::DOUBLE, 4) AS hand, round(embedding[14]::DOUBLE, 4) AS gripper FROM embeddings")
+@query("T20_action_groups", "SELECT vec_id, round(list_sum([x::DOUBLE for x in embedding[1:7]]), 4) + 0.0 AS arm, round(list_sum([x::DOUBLE for x in embedding[8:13]]), 4) + 0.0 AS hand, round(embedding[14]::DOUBLE, 4) + 0.0 AS gripper FROM embeddings")
 def action_groups(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select("vec_id", *V.split_parts(F.col("embedding").cast("array<double>"), [("arm", 7), ("hand", 6), ("gripper", 1)]))
-    total = lambda c: F.round(F.aggregate(c, F.lit(0.0), lambda a, x: a + x), 4).alias(c)
+    total = lambda c: (F.round(F.aggregate(c, F.lit(0.0), lambda a, x: a + x), 4) + 0.0).alias(c)
     return e.select("vec_id", total("arm"), total("hand"), total("gripper"))
 
 
