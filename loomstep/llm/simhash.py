@@ -215,7 +215,7 @@ def one_of_each_component(df: DataFrame, id_col: str = "doc_id", text_col: str =
     key, n = free_names(df, "__id", "__n")
     groups = simhash_components(df, id_col, text_col, **how)
     stay = written(groups.where("id = component").groupBy(F.col("id").alias(key)).agg(F.count("*").alias(n)), "stay")
-    out = df.join(stay, df[id_col] == stay[key], "left").where(F.col(key).isNotNull() | F.col(id_col).isNull())
+    out = df.join(stay.hint("merge"), df[id_col] == stay[key], "left").where(F.col(key).isNotNull() | F.col(id_col).isNull())
     if not stay.where(F.col(n) > 1).isEmpty():
         twice, once = out.where(F.col(n) > 1), out.where(F.coalesce(F.col(n), F.lit(1)) == 1)
         out = once.unionByName(twice.dropDuplicates([key]))
