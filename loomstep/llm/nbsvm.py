@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .batches import Words, slices, starts_of, words
 from .training import labelled_sample, platt, probability
 
-PER_CLASS, SLICE_BYTES, FOLDS = 2500, 4 << 20, 3
+PER_CLASS, SLICE_BYTES, FOLDS = 2500, 2 << 20, 3
 SMOOTH, LEAST_DOCS = 1.0, 4
 COST, EPOCHS = 0.05, 12
 SHAPE_BITS, SHAPES = 6, 62
@@ -142,11 +142,12 @@ def fit(texts: list[str], y: np.ndarray, smooth: float = SMOOTH, cost: float = C
         found = [np.unique(d.astype(np.int64) * CODES + c) for d, c in grams(part.column(0))]
         pairs.append(np.concatenate(found) + first * CODES)
     pairs = np.sort(np.concatenate(pairs))
-    doc, code = pairs // CODES, pairs % CODES
+    doc, code = (pairs // CODES).astype(np.int32), (pairs % CODES).astype(np.int32)
+    del pairs
     codes, index, count = np.unique(code, return_inverse=True, return_counts=True)
     often = count >= min(least_docs, max(1, len(y) // 10))
-    new = np.cumsum(often) - 1
-    doc, index, codes = doc[often[index]], new[index[often[index]]], codes[often]
+    some, new = often[index], np.cumsum(often) - 1
+    doc, index, codes = doc[some], new[index[some]], codes[often].astype(np.int64)
     rows = np.split(index, np.cumsum(np.bincount(doc, minlength=len(y)))[:-1])
 
     def learn(on: np.ndarray) -> tuple[np.ndarray, float]:
