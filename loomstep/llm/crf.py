@@ -41,9 +41,9 @@ def attributes(word: str) -> tuple[str, str, str, str]:
     return core, "4" + core[:4], "5" + core[:5], "7" + core[:7]
 
 
-def _families(docs: list[set[str]], rows: int = 5, bands: int = 10) -> np.ndarray:
+def _families(texts: list[str], rows: int = 5, bands: int = 10) -> np.ndarray:
     """A number for each document that near copies share, by min-hashes of longer words; only for counting support."""
-    root = list(range(len(docs)))
+    root = list(range(len(texts)))
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -54,40 +54,46 @@ def _families(docs: list[set[str]], rows: int = 5, bands: int = 10) -> np.ndarra
     rng = np.random.default_rng(3)
     mult = rng.integers(1, 1 << 63, rows * bands, dtype=np.uint64) | np.uint64(1)
     seen: dict[tuple, int] = {}
-    for i, d in enumerate(docs):
-        long = [w for w in d if len(w) > 5]
-        hashes = np.array([zlib.crc32(w.encode()) for w in (long if len(long) > 9 else d)] or [i], np.uint64)
+    for i, text in enumerate(texts):
+        own = set(text.split())
+        long = [w for w in own if len(w) > 5]
+        hashes = np.array([zlib.crc32(w.encode()) for w in (long if len(long) > 9 else own)] or [i], np.uint64)
         least = ((hashes[:, None] * mult) >> np.uint64(20)).min(axis=0).tolist()
         for b in range(bands):
             root[find(i)] = find(seen.setdefault((b, *least[b * rows : (b + 1) * rows]), i))
-    return np.array([find(i) for i in range(len(docs))], np.int64)
+    return np.array([find(i) for i in range(len(texts))], np.int64)
 
 
 def telling_attributes(texts: list[str], toxic: np.ndarray, least_docs: int = LEAST_DOCS, purity: float = PURITY, common: float = COMMON) -> set[str]:
     """Attributes whose documents are toxic to at least ``purity`` and that are common among toxic documents, or that explain
     toxic documents which the ones picked before do not. Near copies of a document count once."""
-    plain = [set(t.split()) for t in texts]
-    family = _families(plain)
-    known: dict[str, tuple] = {}
-    own = [{a for w in d for a in known.setdefault(w, attributes(w))} for d in plain]
-    clean = Counter(a for d, y in zip(own, toxic) if not y for a in d)
-    bad: dict[int, set[str]] = {}
-    for d, y, f in zip(own, toxic, family.tolist()):
+    number: dict[str, int] = {}
+    of_word: dict[str, list[int]] = {}
+
+    def numbers(text: str) -> np.ndarray:
+        for w in set(text.split()):
+            if w not in of_word:
+                of_word[w] = [number.setdefault(a, len(number)) for a in attributes(w)]
+        return np.unique(np.fromiter((n for w in set(text.split()) for n in of_word[w]), np.int32))
+
+    own, bad = [numbers(t) for t in texts], {}
+    names, size = list(number), len(number)
+    clean = np.bincount(np.concatenate([d for d, y in zip(own, toxic) if not y] or [np.empty(0, np.int32)]), minlength=size)
+    for d, y, f in zip(own, toxic, _families(texts).tolist()):
         if y:
-            bad[f] = bad[f] & d if f in bad else d
-    support = Counter(a for d in bad.values() for a in d)
-    fair = {a for a, n in support.items() if n >= least_docs and n >= purity * (n + clean[a])}
-    picked = {a for a in fair if support[a] >= max(least_docs + 1, common * len(bad))}
-    left = [d & fair for d in bad.values() if not d & picked]
-    count = Counter(a for d in left for a in d)
-    while count:
-        best = max(count, key=lambda a: (count[a], support[a], len(a), a))
-        if count[best] < least_docs:
+            bad[f] = np.intersect1d(bad[f], d) if f in bad else d
+    support = np.bincount(np.concatenate([*bad.values()] or [np.empty(0, np.int32)]), minlength=size)
+    fair = (support >= least_docs) & (support >= purity * (support + clean))
+    picked = fair & (support >= max(least_docs + 1, common * len(bad)))
+    left = [d[fair[d]] for d in bad.values() if not picked[d].any()]
+    while left:
+        count = np.bincount(np.concatenate(left), minlength=size)
+        if count.max() < least_docs:
             break
-        picked.add(best)
-        count.subtract(a for d in left if best in d for a in d)
-        left, count = [d for d in left if best not in d], +count
-    return picked
+        best = max(np.flatnonzero(count == count.max()).tolist(), key=lambda a: (support[a], len(names[a]), names[a]))
+        picked[best] = True
+        left = [d for d in left if best not in d]
+    return {names[a] for a in np.flatnonzero(picked)}
 
 
 @dataclass
