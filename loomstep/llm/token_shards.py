@@ -30,7 +30,7 @@ from .packing import SLICE_BYTES
 from .tokens import END, tokenizer
 
 LENGTH, PER_SHARD, KEY, ROUNDS = 2048, 8192, 20240229, 6
-U, CODEC = np.uint64, ("zstd", 1)
+U, CODEC = np.uint64, ("zstd", 3)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
