@@ -20,6 +20,7 @@ def slices(batch: pa.RecordBatch, text: int, most_bytes: int) -> Iterator[pa.Rec
         stop = max(at + 1, int(np.searchsorted(ends, before + most_bytes, "right")))
         yield batch.slice(at, stop - at)
         at = stop
+        pa.default_memory_pool().release_unused()  # a worker's memory is its executor's
 
 
 class Words(NamedTuple):

@@ -96,8 +96,9 @@ class Model:
     constant: float | None = None
 
     def table(self) -> np.ndarray:
-        at = np.full(CODES, -1, np.int32)
-        at[self.codes] = np.arange(len(self.codes), dtype=np.int32)
+        kind = np.int16 if len(self.codes) < 1 << 15 else np.int32
+        at = np.full(CODES, -1, kind)
+        at[self.codes] = np.arange(len(self.codes), dtype=kind)
         return at
 
     def margins(self, texts: pa.Array, table: np.ndarray) -> np.ndarray:

@@ -30,7 +30,7 @@ from .common import text_of
 from .tokens import END, tokenizer
 
 WINDOW, SENTENCE, HARD = 4096, 8, 512
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 SCHEMA = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 SENTENCE_ENDS = (".</w>", "!</w>", "?</w>", "...</w>", "!!</w>", "?!</w>")  # fixed values: tokens that close a sentence
 
@@ -112,9 +112,8 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(tokenizer_path)
-        vocabulary = own.tokenizer.get_vocab()
-        is_end = np.zeros(max(vocabulary.values()) + 1, bool)
-        is_end[[vocabulary[x] for x in SENTENCE_ENDS if x in vocabulary]] = True
+        is_end = np.zeros(len(own.ends), bool)
+        is_end[[i for x in SENTENCE_ENDS if (i := own.tokenizer.token_to_id(x)) is not None]] = True
         packer, id_type = _Packer(is_end, window, sentence, hard), None
 
         def out(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
