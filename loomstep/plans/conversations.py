@@ -179,3 +179,36 @@ def precalculated_lengths(spark, sf_dir):
 def placeholder_check(spark, sf_dir):
     n = F.when(F.col("turn") == 0, 2).otherwise(0)
     return _prompts(spark, sf_dir).select("conv_id", "turn", (X.placeholders(F.col("prompt")) == n).alias("ok"))
+
+
+# The forms above cut texts, as their SQL does; those below take whole texts.
+_WHOLE_SQL = _IDS_SQL.replace("least(length(text), 40)", "length(text)")
+
+
+def _whole_ids(df):
+    ids = F.expr("transform(split(text, ''), (c, i) -> CASE WHEN (i + 1) % 11 = 3 THEN 77091 WHEN (i + 1) % 11 = 8 THEN 151645 ELSE ascii(c) END)")
+    return df.where("char_length(text) > 0").withColumn("ids", ids)
+
+
+@query(
+    "X05_packed_turns_whole",
+    f"SELECT conv_id, array_to_string(flatten(list(ids ORDER BY turn)), ',') AS ids, sum(len(ids))::BIGINT AS total FROM (SELECT conv_id, turn, {_WHOLE_SQL} AS ids FROM conversations WHERE length(text) > 0) GROUP BY conv_id",
+)
+def packed_turns_whole(spark, sf_dir):
+    out = C.pack_turns(_whole_ids(table(spark, sf_dir, "conversations")), ["conv_id"], "turn", "ids")
+    return out.select("conv_id", _joined("ids").alias("ids"), F.element_at("bounds", -1).cast("long").alias("total"))
+
+
+@query("X07_positions_whole", f"SELECT conv_id, array_to_string(flatten(list([i - 1 for i in range(1, len(ids) + 1)] ORDER BY turn)), ',') AS positions FROM (SELECT conv_id, turn, {_WHOLE_SQL} AS ids FROM conversations WHERE length(text) > 0) GROUP BY conv_id")
+def positions_whole(spark, sf_dir):
+    out = C.pack_turns(_whole_ids(table(spark, sf_dir, "conversations")), ["conv_id"], "turn", "ids")
+    return out.select("conv_id", _joined(C.positions(F.col("bounds"))).alias("positions"))
+
+
+@query(
+    "X08_cumulative_lengths_whole",
+    "WITH c AS (SELECT conv_id, turn, sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn) AS s FROM conversations WHERE length(text) > 0) SELECT conv_id, '0,' || string_agg(s::VARCHAR, ',' ORDER BY turn) AS bounds FROM c GROUP BY conv_id",
+)
+def cumulative_lengths_whole(spark, sf_dir):
+    out = C.pack_turns(_whole_ids(table(spark, sf_dir, "conversations")), ["conv_id"], "turn", "ids")
+    return out.select("conv_id", _joined("bounds").alias("bounds"))
