@@ -183,6 +183,7 @@ def placeholder_check(spark, sf_dir):
 
 # The forms above cut texts, as their SQL does; those below take whole texts.
 _WHOLE_SQL = _IDS_SQL.replace("least(length(text), 40)", "length(text)")
+_WHOLE_PROMPT = _PROMPT.replace("left(text, 20)", "text")
 
 
 def _whole_ids(df):
@@ -190,6 +191,11 @@ def _whole_ids(df):
     return df.where("char_length(text) > 0").withColumn("ids", ids)
 
 
+def _whole_prompts(spark, sf_dir):
+    prompt = F.when(F.col("turn") == 0, F.concat(F.lit("<image>"), "text", F.lit("<video><image>"))).otherwise(F.col("text"))
+    return table(spark, sf_dir, "conversations").withColumn("prompt", prompt)
+
+
 @query(
     "X05_packed_turns_whole",
     f"SELECT conv_id, array_to_string(flatten(list(ids ORDER BY turn)), ',') AS ids, sum(len(ids))::BIGINT AS total FROM (SELECT conv_id, turn, {_WHOLE_SQL} AS ids FROM conversations WHERE length(text) > 0) GROUP BY conv_id",
@@ -212,3 +218,24 @@ def positions_whole(spark, sf_dir):
 def cumulative_lengths_whole(spark, sf_dir):
     out = C.pack_turns(_whole_ids(table(spark, sf_dir, "conversations")), ["conv_id"], "turn", "ids")
     return out.select("conv_id", _joined("bounds").alias("bounds"))
+
+
+@query("X09_history_prompt_whole", "SELECT conv_id, turn, repeat('<image>' || chr(10), turn::INT) || '<image>' || chr(10) || text AS prompt FROM conversations")
+def history_prompt_whole(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.history_prompt(F.col("text"), (F.col("turn") + 1).cast("int")).alias("prompt"))
+
+
+@query("X12_action_suffix_whole", "SELECT item_id, text || repeat('<act>', 8) AS prompt FROM benchmark")
+def action_suffix_whole(spark, sf_dir):
+    return table(spark, sf_dir, "benchmark").select("item_id", X.with_action_tokens(F.col("text"), "<act>", 8).alias("prompt"))
+
+
+@query("X02_split_media_whole", rf"SELECT conv_id, turn, array_to_string(list_filter(regexp_extract_all({_WHOLE_PROMPT}, '<image>|<video>|(?:[^<]|<[^iv])+'), lambda p: p <> ''), '|') AS pieces FROM conversations")
+def split_media_whole(spark, sf_dir):
+    return _whole_prompts(spark, sf_dir).select("conv_id", "turn", F.array_join(X.split_media(F.col("prompt")), "|").alias("pieces"))
+
+
+@query("P21_placeholder_check_whole", f"SELECT conv_id, turn, (length({_WHOLE_PROMPT}) - length(replace({_WHOLE_PROMPT}, '<image>', ''))) // 7 = 2 * (turn = 0)::INT AS ok FROM conversations")
+def placeholder_check_whole(spark, sf_dir):
+    n = F.when(F.col("turn") == 0, 2).otherwise(0)
+    return _whole_prompts(spark, sf_dir).select("conv_id", "turn", (X.placeholders(F.col("prompt")) == n).alias("ok"))
