@@ -98,9 +98,11 @@ def sampling_rate(name: Column) -> Column:
     return F.when(digits == "", F.lit(1.0)).otherwise(F.try_to_number(F.concat(F.lit("0"), digits), F.lit("9999999999")).cast("double") / 100)
 
 
-def first_valid(requests: DataFrame, candidates: DataFrame, size: int, attempts: int, stride: int = 7919) -> DataFrame:
-    """For each requested index the first candidate by attempt that is valid; attempts step on by an odd stride."""
+def first_valid(requests: DataFrame, candidates: DataFrame, size: int, attempts: int, stride: int = 7919, unresolved: bool = False) -> DataFrame:
+    """For each requested index the first candidate by attempt that is valid; attempts step on by an odd stride. With
+    ``unresolved`` an index without a valid candidate keeps its row, with nulls."""
     tried = requests.select("index", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))).alias("attempt"))
     tried = tried.withColumn("candidate", F.pmod(F.col("index") + F.col("attempt") * stride, F.lit(size)))
     good = candidates.where("valid").select(F.col("index").alias("candidate"))
-    return tried.join(good, "candidate").groupBy("index").agg(F.min_by("candidate", "attempt").alias("candidate"), F.min("attempt").alias("attempt"))
+    found = tried.join(good, "candidate").groupBy("index").agg(F.min_by("candidate", "attempt").alias("candidate"), F.min("attempt").alias("attempt"))
+    return requests.select("index").join(found, "index", "left") if unresolved else found

@@ -95,6 +95,18 @@ def first_valid(spark, sf_dir):
     return out.withColumn("attempt", F.col("attempt").cast("long"))
 
 
+@query(
+    "M07_first_valid_all",
+    "WITH c AS (SELECT event_id AS i, value < 20 AS valid FROM events), n AS (SELECT count(*) AS n FROM c), q AS (SELECT event_id AS index, unnest(range(16)) AS attempt FROM events), t AS (SELECT index, attempt, (index + attempt * 7919) % n AS candidate FROM q, n) SELECT index, coalesce(arg_min(candidate, attempt) FILTER (WHERE valid), -1) AS candidate, coalesce(min(attempt) FILTER (WHERE valid), -1) AS attempt, coalesce(bool_or(valid), false) AS resolved FROM t LEFT JOIN c ON c.i = candidate GROUP BY 1",
+)
+def first_valid_all(spark, sf_dir):
+    """Every event is asked for; one whose attempts are exhausted is marked unresolved, with candidate and attempt -1."""
+    e = table(spark, sf_dir, "events")
+    c = e.select(F.col("event_id").alias("index"), (F.col("value") < 20).alias("valid"))
+    out = M.first_valid(c.select("index"), c, e.count(), 16, unresolved=True)
+    return out.select("index", F.coalesce("candidate", F.lit(-1)).alias("candidate"), F.coalesce("attempt", F.lit(-1)).cast("long").alias("attempt"), F.col("attempt").isNotNull().alias("resolved"))
+
+
 @query("M08_sampling_rates", "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 1.0::DOUBLE ELSE (p_partkey % 100) / 100.0::DOUBLE END AS rate FROM part")
 def sampling_rates(spark, sf_dir):
     name = F.when(F.col("p_partkey") % 3 == 0, F.col("p_name")).otherwise(F.concat("p_name", F.lit("%"), (F.col("p_partkey") % 100).cast("string")))
