@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .batches import slices, starts_of
@@ -216,18 +216,15 @@ def fit(texts: list[str], langs: list[str], window: int = WINDOW, hidden: int =
     return model
 
 
-def train(docs: DataFrame, learn: Column, per_lang: int = PER_LANG, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_langs: int = 64, **how) -> Model:
-    """From at most ``per_lang`` documents of each of the ``most_langs`` most frequent languages, those of least id hash."""
-    able = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) >= 40))
-    keys = able.select(id_col, lang_col, F.xxhash64(id_col).alias("h"))
-    langs = [r[lang_col] for r in keys.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(most_langs).collect()]
-    if not langs:
+def train(docs: DataFrame, learn: Column, per_lang: int = PER_LANG, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **how) -> Model:
+    """From at most ``per_lang`` documents of every language, those of least id hash; texts under 40 characters come last."""
+    able = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    keys = able.select(id_col, lang_col, (F.length(text_col) < 40).alias("short"), F.xxhash64(id_col).alias("h"))
+    first = Window.partitionBy(lang_col).orderBy("short", "h", id_col)  # limited before the exchange
+    pick = keys.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_lang)
+    if pick.isEmpty():
         return fit([], [], **how)
-    pick = None
-    for lang in langs:
-        few = keys.where(F.col(lang_col) == lang).select(id_col, "h").orderBy("h", id_col).limit(per_lang)
-        pick = few if pick is None else pick.unionByName(few)
-    few = docs.sparkSession.createDataFrame(pick.select(id_col).distinct().toPandas())  # at most most_langs x per_lang ids
+    few = docs.sparkSession.createDataFrame(pick.select(id_col).distinct().toPandas())  # at most per_lang ids of a language
     rows = able.select(id_col, text_col, lang_col).join(F.broadcast(few), id_col, "left_semi").toPandas()
     rows = rows.drop_duplicates(id_col).sort_values(id_col)
     return fit(rows[text_col].tolist(), rows[lang_col].tolist(), **how)
