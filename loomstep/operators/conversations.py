@@ -14,23 +14,23 @@ def label_mask(ids: Column, start: int = START, stop: int = STOP) -> Column:
     """Labels equal to the ids inside answers and IGNORE elsewhere. An answer begins two places after a start token; it goes
     up to and with the place after its stop token. A start token within an answer, or without a later stop, opens none.
 
-    One pass with the state (place to label until, answer being open): a struct of three numbers and the array so far."""
-    n = F.size(ids)
-    stops = F.filter(F.transform(ids, lambda x, i: F.when(x == stop, i)), lambda i: i.isNotNull())
-    starts = F.filter(F.transform(ids, lambda x, i: F.when(x == start, i)), lambda i: i.isNotNull())
-    # Answers as (first, last) places, taken from left to right; the next start must lie behind the last stop.
-    zero = F.struct(F.lit(-1).alias("at"), F.array().cast("array<struct<a:int,z:int>>").alias("spans"))
-    close = lambda s: F.array_min(F.filter(stops, lambda e: e >= s + 2))
-    spans = F.aggregate(
-        starts,
-        zero,
-        lambda acc, s: F.when(
-            (s > acc["at"]) & close(s).isNotNull(),
-            F.struct(close(s).alias("at"), F.concat(acc["spans"], F.array(F.struct((s + 2).alias("a"), F.least(close(s) + 1, n - 1).alias("z")))).alias("spans")),
-        ).otherwise(acc),
-        lambda acc: acc["spans"],
-    )
-    return F.transform(ids, lambda x, i: F.when(F.exists(spans, lambda s: (i >= s["a"]) & (i <= s["z"])), x).otherwise(F.lit(IGNORE)))
+    Linear in the ids: they become a string of a letter each, in which an answer with its start is a match of one pattern; the
+    pieces between and within matches give each place its kind, and no lambda looks at anything but its own elements."""
+    marks = F.array_join(F.transform(ids, lambda x: F.when(x == start, "s").when(x == stop, "e").otherwise(".")), "")
+    closed = F.regexp_extract(marks, "^.*e", 0)  # behind the last stop nothing can match
+    answer = "s..*?e"
+    between, within = F.split(closed, answer, -1), F.regexp_extract_all(closed, F.lit(f"({answer})"), F.lit(1))
+    none, one, last = F.lit(0), F.lit(1), F.lit(2)  # outside, inside, the stop itself
+
+    def kinds(gap: Column, found: Column) -> Column:
+        inside = F.concat(F.array(none, none), F.array_repeat(one, F.length(found) - 3), F.array(last))
+        return F.concat(F.array_repeat(none, F.length(gap)), F.when(F.length(found) > 0, inside).otherwise(F.array().cast("array<int>")))
+
+    kind = F.flatten(F.zip_with(between, F.concat(within, F.array(F.lit(""))), kinds))
+    kind = F.concat(kind, F.array_repeat(none, F.length(marks) - F.length(closed)))
+    before = F.concat(F.array(none), kind)
+    labelled = F.zip_with(kind, before, lambda k, b: (k > 0) | (b == 2))  # the last one has no place of its own: null
+    return F.transform(F.arrays_zip(ids.alias("id"), F.slice(labelled, F.lit(1), F.size(ids)).alias("labelled")), lambda x: F.when(x["labelled"], x["id"]).otherwise(F.lit(IGNORE)))
 
 
 def pad_to(ids: Column, size: Column, pad: int) -> Column:

@@ -7,12 +7,12 @@ from loomstep.functions import vectors as V
 from loomstep.operators import conversations as C
 from loomstep.plans.registry import query, table
 
-# Token ids of a text: code points of its first 40 letters, with markers put in by rule.
-_IDS_SQL = "[CASE WHEN i % 11 = 3 THEN 77091 WHEN i % 11 = 8 THEN 151645 ELSE unicode(text[i:i]) END for i in range(1, least(length(text), 40) + 1)]"
+# Token ids of a whole text: the code points of its characters, with markers put in by rule.
+_IDS_SQL = "[CASE WHEN i % 11 = 3 THEN 77091 WHEN i % 11 = 8 THEN 151645 ELSE unicode(text[i:i]) END for i in range(1, length(text) + 1)]"
 
 
 def _ids(df):
-    ids = F.expr("transform(sequence(1, least(char_length(text), 40)), i -> CASE WHEN i % 11 = 3 THEN 77091 WHEN i % 11 = 8 THEN 151645 ELSE ascii(substring(text, i, 1)) END)")
+    ids = F.expr("transform(split(text, ''), (c, i) -> CASE WHEN (i + 1) % 11 = 3 THEN 77091 WHEN (i + 1) % 11 = 8 THEN 151645 ELSE ascii(c) END)")
     return df.where("char_length(text) > 0").withColumn("ids", ids)
 
 
@@ -25,13 +25,12 @@ def clean_instruction(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(X.clean_instruction(F.col("text")).cast("binary")).alias("lang"))
 
 
-_PROMPT = "CASE WHEN turn = 0 THEN '<image>' || left(text, 20) || '<video><image>' ELSE left(text, 20) END"
+_PROMPT = "CASE WHEN turn = 0 THEN '<image>' || text || '<video><image>' ELSE text END"
 
 
 def _prompts(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations")
-    short = F.substring("text", 1, 20)
-    return c.withColumn("prompt", F.when(F.col("turn") == 0, F.concat(F.lit("<image>"), short, F.lit("<video><image>"))).otherwise(short))
+    prompt = F.when(F.col("turn") == 0, F.concat(F.lit("<image>"), "text", F.lit("<video><image>"))).otherwise(F.col("text"))
+    return table(spark, sf_dir, "conversations").withColumn("prompt", prompt)
 
 
 @query("X02_split_media", rf"SELECT conv_id, turn, array_to_string(list_filter(regexp_extract_all({_PROMPT}, '<image>|<video>|(?:[^<]|<[^iv])+'), lambda p: p <> ''), '|') AS pieces FROM conversations")
@@ -45,16 +44,16 @@ def roles(spark, sf_dir):
     return table(spark, sf_dir, "conversations").groupBy(X.chat_role(speaker).alias("chat_role")).agg(F.count("*").alias("n"))
 
 
-_STOPS = "list_filter(range(1, len(ids) + 1), lambda i: ids[i] = 151645)"
-
-
 @query(
     "X04_label_mask",
     f"""WITH RECURSIVE b AS (SELECT conv_id, turn, {_IDS_SQL} AS ids FROM conversations WHERE length(text) > 0),
-s AS (SELECT conv_id, turn, ids, 1 AS pos, [-100 for x in ids] AS labels FROM b UNION ALL
-SELECT conv_id, turn, ids, CASE WHEN ids[pos] = 77091 AND z IS NOT NULL THEN z + 1 ELSE pos + 1 END, CASE WHEN ids[pos] = 77091 AND z IS NOT NULL THEN [CASE WHEN i >= pos + 2 AND i <= z + 1 THEN ids[i] ELSE labels[i] END for i in range(1, len(ids) + 1)] ELSE labels END
-FROM (SELECT *, list_min(list_filter(range(pos + 2, len(ids) + 1), lambda i: ids[i] = 151645)) AS z FROM s WHERE pos <= len(ids)))
-SELECT conv_id, turn, array_to_string(labels, ',') AS labels FROM s WHERE pos > len(ids)""",
+p AS (SELECT conv_id, turn, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM b),
+w AS (SELECT *, min(CASE WHEN id = 151645 THEN i END) OVER (PARTITION BY conv_id, turn ORDER BY i ROWS BETWEEN 2 FOLLOWING AND UNBOUNDED FOLLOWING) AS z FROM p),
+s AS (SELECT conv_id, turn, i AS head, z FROM w WHERE id = 77091 AND z IS NOT NULL),
+a AS (SELECT conv_id, turn, min(head) AS head, arg_min(z, head) AS z FROM s GROUP BY ALL UNION ALL
+SELECT conv_id, turn, head, z FROM (SELECT s.*, row_number() OVER (PARTITION BY s.conv_id, s.turn ORDER BY s.head) AS k FROM a JOIN s ON s.conv_id = a.conv_id AND s.turn = a.turn AND s.head > a.z) WHERE k = 1)
+SELECT p.conv_id, p.turn, string_agg(CASE WHEN a.head IS NULL THEN -100 ELSE id END, ',' ORDER BY i) AS labels
+FROM p LEFT JOIN a ON a.conv_id = p.conv_id AND a.turn = p.turn AND i BETWEEN a.head + 2 AND a.z + 1 GROUP BY ALL""",
 )
 def label_mask(spark, sf_dir):
     rows = _ids(table(spark, sf_dir, "conversations"))
@@ -88,16 +87,16 @@ def positions(spark, sf_dir):
 
 @query(
     "X08_cumulative_lengths",
-    f"WITH b AS (SELECT conv_id, turn, len({_IDS_SQL}) AS n FROM conversations WHERE length(text) > 0), c AS (SELECT conv_id, turn, sum(n) OVER (PARTITION BY conv_id ORDER BY turn) AS s FROM b) SELECT conv_id, '0,' || string_agg(s::VARCHAR, ',' ORDER BY turn) AS bounds FROM c GROUP BY conv_id",
+    "WITH c AS (SELECT conv_id, turn, sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn) AS s FROM conversations WHERE length(text) > 0) SELECT conv_id, '0,' || string_agg(s::VARCHAR, ',' ORDER BY turn) AS bounds FROM c GROUP BY conv_id",
 )
 def cumulative_lengths(spark, sf_dir):
     out = C.pack_turns(_ids(table(spark, sf_dir, "conversations")), ["conv_id"], "turn", "ids")
     return out.select("conv_id", _joined("bounds").alias("bounds"))
 
 
-@query("X09_history_prompt", "SELECT conv_id, turn, repeat('<image>' || chr(10), turn::INT) || '<image>' || chr(10) || left(text, 15) AS prompt FROM conversations")
+@query("X09_history_prompt", "SELECT conv_id, turn, repeat('<image>' || chr(10), turn::INT) || '<image>' || chr(10) || text AS prompt FROM conversations")
 def history_prompt(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.history_prompt(F.substring("text", 1, 15), (F.col("turn") + 1).cast("int")).alias("prompt"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.history_prompt(F.col("text"), (F.col("turn") + 1).cast("int")).alias("prompt"))
 
 
 _STATE = "array_to_string([CASE WHEN v < -1 THEN -1 ELSE least(floor((v + 1) / 2 * 256)::INT, 255) END for v in [x::DOUBLE * 6 for x in embedding[1:7]]], ' ')"
@@ -117,9 +116,9 @@ def state_prompt(spark, sf_dir):
     return _state(spark, sf_dir).select("vec_id", X.with_state(F.concat(F.lit("pick "), F.col("label").cast("string")), F.col("s")).alias("prompt"))
 
 
-@query("X12_action_suffix", "SELECT item_id, left(text, 30) || repeat('<act>', 8) AS prompt FROM benchmark")
+@query("X12_action_suffix", "SELECT item_id, text || repeat('<act>', 8) AS prompt FROM benchmark")
 def action_suffix(spark, sf_dir):
-    return table(spark, sf_dir, "benchmark").select("item_id", X.with_action_tokens(F.substring("text", 1, 30), "<act>", 8).alias("prompt"))
+    return table(spark, sf_dir, "benchmark").select("item_id", X.with_action_tokens(F.col("text"), "<act>", 8).alias("prompt"))
 
 
 @query("X13_json_in_text", "SELECT event_id, (regexp_extract('note' || chr(10) || props || ' end', '(?s)\\{.*\\}')::JSON->>'k')::BIGINT AS k FROM events")
@@ -179,63 +178,3 @@ def precalculated_lengths(spark, sf_dir):
 def placeholder_check(spark, sf_dir):
     n = F.when(F.col("turn") == 0, 2).otherwise(0)
     return _prompts(spark, sf_dir).select("conv_id", "turn", (X.placeholders(F.col("prompt")) == n).alias("ok"))
-
-
-# The forms above cut texts, as their SQL does; those below take whole texts.
-_WHOLE_SQL = _IDS_SQL.replace("least(length(text), 40)", "length(text)")
-_WHOLE_PROMPT = _PROMPT.replace("left(text, 20)", "text")
-
-
-def _whole_ids(df):
-    ids = F.expr("transform(split(text, ''), (c, i) -> CASE WHEN (i + 1) % 11 = 3 THEN 77091 WHEN (i + 1) % 11 = 8 THEN 151645 ELSE ascii(c) END)")
-    return df.where("char_length(text) > 0").withColumn("ids", ids)
-
-
-def _whole_prompts(spark, sf_dir):
-    prompt = F.when(F.col("turn") == 0, F.concat(F.lit("<image>"), "text", F.lit("<video><image>"))).otherwise(F.col("text"))
-    return table(spark, sf_dir, "conversations").withColumn("prompt", prompt)
-
-
-@query(
-    "X05_packed_turns_whole",
-    f"SELECT conv_id, array_to_string(flatten(list(ids ORDER BY turn)), ',') AS ids, sum(len(ids))::BIGINT AS total FROM (SELECT conv_id, turn, {_WHOLE_SQL} AS ids FROM conversations WHERE length(text) > 0) GROUP BY conv_id",
-)
-def packed_turns_whole(spark, sf_dir):
-    out = C.pack_turns(_whole_ids(table(spark, sf_dir, "conversations")), ["conv_id"], "turn", "ids")
-    return out.select("conv_id", _joined("ids").alias("ids"), F.element_at("bounds", -1).cast("long").alias("total"))
-
-
-@query("X07_positions_whole", f"SELECT conv_id, array_to_string(flatten(list([i - 1 for i in range(1, len(ids) + 1)] ORDER BY turn)), ',') AS positions FROM (SELECT conv_id, turn, {_WHOLE_SQL} AS ids FROM conversations WHERE length(text) > 0) GROUP BY conv_id")
-def positions_whole(spark, sf_dir):
-    out = C.pack_turns(_whole_ids(table(spark, sf_dir, "conversations")), ["conv_id"], "turn", "ids")
-    return out.select("conv_id", _joined(C.positions(F.col("bounds"))).alias("positions"))
-
-
-@query(
-    "X08_cumulative_lengths_whole",
-    "WITH c AS (SELECT conv_id, turn, sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn) AS s FROM conversations WHERE length(text) > 0) SELECT conv_id, '0,' || string_agg(s::VARCHAR, ',' ORDER BY turn) AS bounds FROM c GROUP BY conv_id",
-)
-def cumulative_lengths_whole(spark, sf_dir):
-    out = C.pack_turns(_whole_ids(table(spark, sf_dir, "conversations")), ["conv_id"], "turn", "ids")
-    return out.select("conv_id", _joined("bounds").alias("bounds"))
-
-
-@query("X09_history_prompt_whole", "SELECT conv_id, turn, repeat('<image>' || chr(10), turn::INT) || '<image>' || chr(10) || text AS prompt FROM conversations")
-def history_prompt_whole(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.history_prompt(F.col("text"), (F.col("turn") + 1).cast("int")).alias("prompt"))
-
-
-@query("X12_action_suffix_whole", "SELECT item_id, text || repeat('<act>', 8) AS prompt FROM benchmark")
-def action_suffix_whole(spark, sf_dir):
-    return table(spark, sf_dir, "benchmark").select("item_id", X.with_action_tokens(F.col("text"), "<act>", 8).alias("prompt"))
-
-
-@query("X02_split_media_whole", rf"SELECT conv_id, turn, array_to_string(list_filter(regexp_extract_all({_WHOLE_PROMPT}, '<image>|<video>|(?:[^<]|<[^iv])+'), lambda p: p <> ''), '|') AS pieces FROM conversations")
-def split_media_whole(spark, sf_dir):
-    return _whole_prompts(spark, sf_dir).select("conv_id", "turn", F.array_join(X.split_media(F.col("prompt")), "|").alias("pieces"))
-
-
-@query("P21_placeholder_check_whole", f"SELECT conv_id, turn, (length({_WHOLE_PROMPT}) - length(replace({_WHOLE_PROMPT}, '<image>', ''))) // 7 = 2 * (turn = 0)::INT AS ok FROM conversations")
-def placeholder_check_whole(spark, sf_dir):
-    n = F.when(F.col("turn") == 0, 2).otherwise(0)
-    return _whole_prompts(spark, sf_dir).select("conv_id", "turn", (X.placeholders(F.col("prompt")) == n).alias("ok"))
