@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -54,14 +55,80 @@ def hash_unit(*parts: Column) -> Column:
 
 
 def cumulative(df: DataFrame, share: str, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """[low, high) of each row's share in [0, 1)."""
+    """[low, high) of each row's share in [0, 1) and, as ``among``, how many rows share it. The last range is closed at 1, where
+    a running sum of rounded shares may fall short of it."""
     w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("high", F.sum(share).over(w)).withColumn("low", F.col("high") - F.col(share))
-
-
-def draw(indices: DataFrame, ranges: DataFrame, unit: Column, pick: Sequence[str]) -> DataFrame:
-    """Each index with the row whose range holds its number. ``ranges`` is one row per dataset or episode of a catalogue."""
-    return indices.withColumn("__u", unit).join(ranges, (F.col("__u") >= F.col("low")) & (F.col("__u") < F.col("high"))).select(*indices.columns, *pick)
+    upto = F.sum(share).over(w)
+    last = F.row_number().over(w) == F.count(F.lit(1)).over(Window.partitionBy(*by))
+    return df.withColumns({"low": upto - F.col(share), "high": F.when(last, F.lit(1.0)).otherwise(upto), "among": F.count(F.lit(1)).over(Window.partitionBy(*by))})
+
+
+def draw(indices: DataFrame, ranges: DataFrame, unit: Column, pick: Sequence[str], by: Sequence[str] = (), among: str | None = None) -> DataFrame:
+    """Each index with the row whose range holds its number. [0, 1) is cut into as many cells as there are ranges (of a group,
+    with ``by``): a range is listed in the cells that it touches, so it joins by equality, and no pairs are tried. ``among``
+    names the indices' column with that number; without it, it is counted here."""
+    keys, names = list(by), [c for c in indices.columns if c != among]
+    own = indices.withColumn("__u", unit)
+    if among is None:
+        n = ranges.count()
+        own = own.withColumn("__among", F.lit(max(n, 1)))
+    else:
+        own = own.withColumn("__among", F.col(among))
+    own = own.withColumn("__cell", F.floor(F.col("__u") * F.col("__among"))).drop("__among")
+    touched = F.sequence(F.floor(F.col("low") * F.col("among")), F.least(F.floor(F.col("high") * F.col("among")), F.col("among") - 1))
+    cells = ranges.where("low < high").select(*keys, *pick, "low", "high", F.explode(touched).alias("__cell"))
+    hit = (F.col("__u") >= F.col("low")) & (F.col("__u") < F.col("high"))
+    return own.join(cells, [*keys, "__cell"]).where(hit).select(*dict.fromkeys([*keys, *names, *pick]))
+
+
+def hierarchical_draw(indices: DataFrame, datasets: DataFrame, episodes: DataFrame, epoch: int, seed: int) -> DataFrame:
+    """(index, dataset, episode, step): a dataset by its share, an episode of it by its share there, and a step of it, all from
+    hashes of (epoch, index, seed). ``datasets`` has (dataset, share), ``episodes`` (dataset, episode, share, steps); episodes
+    without a share are never drawn."""
+    unit = lambda level: hash_unit(F.lit(epoch), F.col("index"), F.lit(seed), F.lit(level))
+    able = cumulative(episodes.where("share > 0"), "share", ["episode"], ["dataset"])
+    counts = able.groupBy("dataset").agg(F.max("among").alias("episodes"))
+    ranges = cumulative(datasets.join(counts, "dataset"), "share", ["dataset"])
+    of = draw(indices, ranges, unit(0), ["dataset", "episodes"])
+    of = draw(of, able, unit(1), ["episode", "steps"], by=["dataset"], among="episodes")
+    return of.select("index", "dataset", "episode", F.floor(unit(2) * F.col("steps")).alias("step"))
+
+
+def normal(*parts: Column) -> Column:
+    """A standard normal number from hashes of the parts, by the polar form of two numbers in [0, 1)."""
+    return F.sqrt(-2 * F.log(1 - hash_unit(*parts, F.lit("r")))) * F.cos(F.lit(2 * math.pi) * hash_unit(*parts, F.lit("a")))
+
+
+def perturb(vector: Column, std: float, *key: Column) -> Column:
+    """The vector with a normal number of its own added to each element, within the vector's own extremes. The noise follows
+    from the key and the element's place. Lambdas see nothing but their elements, so the extremes are found once."""
+    bounds = F.array_repeat(F.struct(F.array_min(vector).alias("low"), F.array_max(vector).alias("high")), F.size(vector))
+    at = F.transform(F.arrays_zip(vector.alias("x"), bounds.alias("b")), lambda e, i: F.greatest(e["b"]["low"], F.least(e["b"]["high"], e["x"] + F.lit(std) * normal(*key, i))))
+    return at
+
+
+def drop_out(vector: Column, p: float, *key: Column) -> Column:
+    """Zeros in place of the whole vector with probability ``p``, by a hash of the key."""
+    return F.when(hash_unit(*key) < p, F.transform(vector, lambda x: F.lit(0.0))).otherwise(vector)
+
+
+CATALOGUE = 1_000_000  # episodes that every worker may hold for exact draws
+
+
+def catalogue_of(datasets: DataFrame, episodes: DataFrame) -> tuple[dict[int, list[float]], dict[int, list[int]], list[float]]:
+    """(shares, lengths, weights) for :func:`exact_draw` from tables as :func:`hierarchical_draw` takes them: datasets by name
+    and episodes by id are numbered from 0. Every worker holds them, so their number is checked."""
+    rows = episodes.where("share > 0").limit(CATALOGUE + 1).collect()
+    if len(rows) > CATALOGUE:
+        raise ValueError(f"more than {CATALOGUE} episodes: use hierarchical_draw")
+    names = sorted((r["dataset"], r["share"]) for r in datasets.collect() if any(e["dataset"] == r["dataset"] for e in rows))
+    shares, lengths = {}, {}
+    for k, (name, _) in enumerate(names):
+        own = sorted((e["episode"], e["share"], e["steps"]) for e in rows if e["dataset"] == name)
+        total = sum(x[1] for x in own)
+        shares[k], lengths[k] = [x[1] / total for x in own], [x[2] for x in own]
+    total = sum(w for _, w in names)
+    return shares, lengths, [w / total for _, w in names]
 
 
 def exact_draw(indices: DataFrame, shares: dict[int, list[float]], lengths: dict[int, list[int]], weights: list[float], seed: int, epoch: int = 0) -> DataFrame:
@@ -86,10 +153,19 @@ def exact_draw(indices: DataFrame, shares: dict[int, list[float]], lengths: dict
     return indices.select(F.col("index").cast("long")).mapInPandas(run, "index long, dataset int, episode int, step long")
 
 
-def exact_sample(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
-    """int(n x fraction) rows without replacement, those of the least hash of their key."""
-    n = int(df.count() * fraction)
-    return df.orderBy(hash_unit(F.lit(seed), F.col(key)), key).limit(n)
+def exact_sample(df: DataFrame, key: str, fraction: float, seed: int = 0, cells: int = 1 << 16) -> DataFrame:
+    """int(n x fraction) rows without replacement, those of the least hash of their key. Hashes are counted by cell; all rows
+    below the cell in which the number is reached are taken as they are, and only that cell's rows are ordered."""
+    own = df.withColumn("__u", hash_unit(F.lit(seed), F.col(key)))
+    cell = F.floor(F.col("__u") * cells)
+    counts = sorted((r["cell"], r["n"]) for r in own.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).collect())
+    wanted, at = int(sum(n for _, n in counts) * fraction), 0
+    for c, n in counts:  # at most ``cells`` counts
+        if at + n > wanted:
+            edge = own.where(cell == c).orderBy("__u", key).limit(wanted - at)
+            return own.where(cell < c).unionByName(edge).drop("__u")
+        at += n
+    return df
 
 
 def sampling_rate(name: Column) -> Column:

@@ -173,11 +173,16 @@ def lowest_confidence(spark, sf_dir):
     return table(spark, sf_dir, "events").withColumn("b", F.col("event_id") % 100).select("b", "event_id", (F.row_number().over(w) <= 7).alias("masked"))
 
 
-@query("K05_gumbel_top_k")
+_NOISE = "(('0x' || md5('3:' || b || ':' || event_id)[1:13])::BIGINT::DOUBLE / 4503599627370496.0 * 0.999998 + 1e-6)"
+
+
+@query("K05_gumbel_top_k", f"SELECT b, event_id, row_number() OVER (PARTITION BY b ORDER BY ln(p) - 4.5::DOUBLE * ln(-ln({_NOISE})), event_id) <= 7 AS masked FROM {_PROBS}")
 def gumbel_top_k(spark, sf_dir):
-    """k positions of each row by noisy log-probability; random, so checked by its counts."""
+    """k positions of each row by log-probability with noise that follows from the row and the position."""
+    from loomstep.operators.mixture import hash_unit
+
     e = table(spark, sf_dir, "events").withColumn("b", F.col("event_id") % 100)
-    noise = -F.log(-F.log(F.rand(3) * 0.999998 + 1e-6))
+    noise = -F.log(-F.log(hash_unit(F.lit(3), F.col("b"), F.col("event_id")) * 0.999998 + 1e-6))
     e = e.withColumn("score", F.log("value") + 4.5 * noise)
     return e.select("b", "event_id", (F.row_number().over(Window.partitionBy("b").orderBy("score", "event_id")) <= 7).alias("masked"))
 

@@ -48,25 +48,51 @@ def mixture_length(spark, sf_dir):
     return M.mixture_length(M.primary(M.dataset_weights(_sets(spark, sf_dir), "weight", "n"), "weight"), "n", "share")
 
 
-_UNIT = "('0x' || md5('0:' || i || ':42')[1:13])::BIGINT::DOUBLE / 4503599627370496.0"
+def _unit_sql(level):
+    return f"('0x' || md5('0:' || i || ':42:{level}')[1:13])::BIGINT::DOUBLE / 4503599627370496.0"
+
+
+# Episodes: customers with orders; a chunk reaches two steps ahead, so an episode has two bases less than orders.
+_EPISODES = "(SELECT c_mktsegment AS dataset, o_custkey AS episode, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)"
+
+
+def _catalogue(spark, sf_dir):
+    """(datasets with share and length, episodes with share and steps)."""
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    e = orders.join(customers, orders["o_custkey"] == customers["c_custkey"]).groupBy(F.col("c_mktsegment").alias("dataset"), F.col("o_custkey").alias("episode")).agg(F.count("*").alias("n"))
+    d = e.groupBy("dataset").agg(F.sum("n").alias("n")).withColumn("weight", (F.length("dataset") % 4).cast("double"))
+    d = M.primary(M.dataset_weights(d, "weight", "n"), "weight")
+    return d, M.episode_weights(e.withColumn("steps", F.col("n") - 2), ["dataset"], "n", valid=F.col("steps") > 0)
+
+
+def _indices(spark, datasets):
+    """An epoch's indices: as many as every primary dataset needs to be seen."""
+    length = M.mixture_length(datasets, "n", "share").first()["epoch_length"] or 0
+    return spark.range(length).withColumnRenamed("id", "index")
 
 
 @query(
     "M04_hash_draw",
-    f"""WITH d AS (SELECT dataset, sum(share) OVER (ORDER BY dataset) - share AS low, sum(share) OVER (ORDER BY dataset) AS high FROM {_SHARE}),
-i AS (SELECT i, {_UNIT} AS u FROM range(2000) AS r(i)) SELECT i AS index, dataset FROM i JOIN d ON u >= low AND u < high""",
+    f"""WITH e AS {_EPISODES}, s AS (SELECT dataset, sum(n)::DOUBLE AS n, (length(dataset) % 4)::DOUBLE AS weight FROM e GROUP BY 1),
+w AS (SELECT *, greatest(weight * n, 1e-8) / sum(greatest(weight * n, 1e-8)) OVER () AS share, CASE WHEN bool_or(weight = 1) OVER () THEN weight = 1 ELSE weight = max(weight) OVER () END AS p FROM s),
+d AS (SELECT dataset, sum(share) OVER (ORDER BY dataset) - share AS low, CASE WHEN row_number() OVER (ORDER BY dataset DESC) = 1 THEN 1.0 ELSE sum(share) OVER (ORDER BY dataset) END AS high FROM w),
+f AS (SELECT dataset, episode, n - 2 AS steps, n / sum(n) OVER (PARTITION BY dataset) AS share FROM e WHERE n > 2),
+r AS (SELECT dataset, episode, steps, sum(share) OVER (PARTITION BY dataset ORDER BY episode) - share AS low, CASE WHEN row_number() OVER (PARTITION BY dataset ORDER BY episode DESC) = 1 THEN 1.0 ELSE sum(share) OVER (PARTITION BY dataset ORDER BY episode) END AS high FROM f),
+i AS (SELECT i, {_unit_sql(0)} AS u, {_unit_sql(1)} AS v, {_unit_sql(2)} AS x FROM (SELECT unnest(range((SELECT floor(max(n / share))::BIGINT FROM w WHERE p))) AS i))
+SELECT i AS index, d.dataset, r.episode, floor(x * steps)::BIGINT AS step FROM i JOIN d ON u >= d.low AND u < d.high JOIN r ON r.dataset = d.dataset AND v >= r.low AND v < r.high""",
 )
 def hash_draw(spark, sf_dir):
-    """A dataset for each index: deterministic by (epoch, index, seed), in any order and on any executor."""
-    ranges = F.broadcast(M.cumulative(M.dataset_weights(_sets(spark, sf_dir), "weight", "n"), "share", ["dataset"]))  # one row per dataset
-    indices = spark.range(2000).withColumnRenamed("id", "index")
-    return M.draw(indices, ranges, M.hash_unit(F.lit(0), F.col("index"), F.lit(42)), ["dataset"])
+    """Dataset, episode and step of every index of an epoch: deterministic by (epoch, index, seed), in any order and on any
+    executor."""
+    datasets, episodes = _catalogue(spark, sf_dir)
+    return M.hierarchical_draw(_indices(spark, datasets), datasets.select("dataset", "share"), episodes, 0, 42)
 
 
 @query("M04_exact_draw")
 def exact_draw(spark, sf_dir):
-    """The draws of numpy's generator, batch by batch."""
-    return M.exact_draw(spark.range(200).withColumnRenamed("id", "index"), {0: [0.5, 0.5], 1: [0.25, 0.75]}, {0: [10, 20], 1: [5, 7]}, [0.3, 0.7], seed=42)
+    """The draws of numpy's generator for an epoch, batch by batch; datasets and episodes by their numbers."""
+    datasets, episodes = _catalogue(spark, sf_dir)
+    return M.exact_draw(_indices(spark, datasets), *M.catalogue_of(datasets, episodes), seed=42)
 
 
 @query("M05_hash_seed", "SELECT event_id, right(sha256('(0, ' || event_id || ', 42)'), 32) AS seed FROM events")
@@ -86,20 +112,9 @@ def gated_draw(spark, sf_dir):
 
 @query(
     "M07_first_valid",
-    "WITH c AS (SELECT event_id AS i, value < 20 AS valid FROM events), n AS (SELECT count(*) AS n FROM c), q AS (SELECT event_id AS index, unnest(range(16)) AS attempt FROM events WHERE event_id % 50 = 0), t AS (SELECT index, attempt, (index + attempt * 7919) % n AS candidate FROM q, n) SELECT index, arg_min(candidate, attempt) AS candidate, min(attempt) AS attempt FROM t JOIN c ON c.i = candidate WHERE valid GROUP BY 1",
-)
-def first_valid(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    c = e.select(F.col("event_id").alias("index"), (F.col("value") < 20).alias("valid"))
-    out = M.first_valid(e.where("event_id % 50 = 0").select(F.col("event_id").alias("index")), c, e.count(), 16)
-    return out.withColumn("attempt", F.col("attempt").cast("long"))
-
-
-@query(
-    "M07_first_valid_all",
     "WITH c AS (SELECT event_id AS i, value < 20 AS valid FROM events), n AS (SELECT count(*) AS n FROM c), q AS (SELECT event_id AS index, unnest(range(16)) AS attempt FROM events), t AS (SELECT index, attempt, (index + attempt * 7919) % n AS candidate FROM q, n) SELECT index, coalesce(arg_min(candidate, attempt) FILTER (WHERE valid), -1) AS candidate, coalesce(min(attempt) FILTER (WHERE valid), -1) AS attempt, coalesce(bool_or(valid), false) AS resolved FROM t LEFT JOIN c ON c.i = candidate GROUP BY 1",
 )
-def first_valid_all(spark, sf_dir):
+def first_valid(spark, sf_dir):
     """Every event is asked for; one whose attempts are exhausted is marked unresolved, with candidate and attempt -1."""
     e = table(spark, sf_dir, "events")
     c = e.select(F.col("event_id").alias("index"), (F.col("value") < 20).alias("valid"))
@@ -130,20 +145,28 @@ def shuffle(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", (F.row_number().over(Window.orderBy(u, "p_partkey")) - 1).cast("long").alias("place"))
 
 
-@query("M10_perturbation")
+def _key_unit(*parts):
+    return "('0x' || md5(" + " || ':' || ".join(parts) + ")[1:13])::BIGINT::DOUBLE / 4503599627370496.0"
+
+
+_NORMAL = f"sqrt(-2 * ln(1 - {_key_unit('7', 'vec_id', 'pos', chr(39) + 'r' + chr(39))})) * cos(2 * pi() * {_key_unit('7', 'vec_id', 'pos', chr(39) + 'a' + chr(39))})"
+_CELLS = "(SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS pos, list_min(embedding)::DOUBLE AS lo, list_max(embedding)::DOUBLE AS hi FROM embeddings)"
+
+
+@query("M10_perturbation", f"SELECT vec_id, pos::BIGINT AS pos, round(greatest(lo, least(hi, x + 0.05::DOUBLE * {_NORMAL})), 6) + 0.0 AS v FROM {_CELLS}")
 def perturbation(spark, sf_dir):
-    """Noise within the range of the input; random, so it is checked by its bounds."""
-    e = table(spark, sf_dir, "embeddings").withColumn("v", F.col("embedding").cast("array<double>"))
-    noise = F.randn(7) * 0.05
-    moved = F.transform("v", lambda x: F.greatest(F.array_min("v"), F.least(F.array_max("v"), x + F.col("noise"))))
-    return e.withColumn("noise", noise).select("vec_id", moved.alias("v"))
+    """Noise for each element, within the range of its vector."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    moved = e.select("vec_id", F.posexplode(M.perturb(F.col("v"), 0.05, F.lit(7), F.col("vec_id"))).alias("pos", "v"))
+    return moved.select("vec_id", F.col("pos").cast("long").alias("pos"), (F.round("v", 6) + 0.0).alias("v"))
 
 
-@query("M11_dropout")
+@query("M11_dropout", f"SELECT vec_id, pos::BIGINT AS pos, CASE WHEN {_key_unit('7', 'vec_id')} < 0.25 THEN 0.0 ELSE round(x, 6) + 0.0 END::DOUBLE AS v FROM {_CELLS}")
 def dropout(spark, sf_dir):
     """A whole vector becomes zeros with a given probability."""
-    zeros = F.array_repeat(F.lit(0.0), F.size("embedding"))
-    return table(spark, sf_dir, "embeddings").select("vec_id", F.when(F.rand(7) < 0.25, zeros).otherwise(F.col("embedding").cast("array<double>")).alias("v"))
+    v = M.drop_out(F.col("embedding").cast("array<double>"), 0.25, F.lit(7), F.col("vec_id"))
+    each = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(v).alias("pos", "v"))
+    return each.select("vec_id", F.col("pos").cast("long").alias("pos"), (F.round("v", 6) + 0.0).alias("v"))
 
 
 @query("P12_skip_empty", f"SELECT dataset, n FROM {_SETS} WHERE n > 0")

@@ -43,10 +43,18 @@ def chunked_ensemble(spark, sf_dir):
     return _wide(N.adaptive_ensemble(_chunks(spark, sf_dir).where("start % 2 = 0"), ["episode"], "start", "chunk", 0.4))
 
 
-@query("R03_sticky_gripper")
+@query(
+    "R03_sticky_gripper",
+    f"""WITH RECURSIVE s AS (SELECT episode, t, value / 100 AS o FROM {STEPS_SQL}),
+r AS (SELECT episode, t, o AS ref, NULL::DOUBLE AS held, 0 AS steps, 0.0::DOUBLE AS gripper FROM s WHERE t = 0 UNION ALL
+SELECT episode, t, ref, CASE WHEN steps = 15 THEN NULL ELSE held END, CASE WHEN steps = 15 THEN 0 ELSE steps END, coalesce(held, change) FROM (
+ SELECT episode, t, change, CASE WHEN fresh THEN o ELSE ref END AS ref, CASE WHEN fresh THEN change ELSE held END AS held, CASE WHEN fresh OR held IS NOT NULL THEN steps + 1 ELSE steps END AS steps FROM (
+  SELECT s.episode, s.t, s.o, r.ref, r.held, r.steps, r.ref - s.o AS change, r.held IS NULL AND abs(r.ref - s.o) > 0.5 AS fresh FROM r JOIN s ON s.episode = r.episode AND s.t = r.t + 1)))
+SELECT episode, t, gripper + 0.0 AS gripper FROM r""",
+)
 def sticky_gripper(spark, sf_dir):
     s = steps(spark, sf_dir).withColumn("opening", F.col("value") / 100)
-    return E.sticky_gripper(s, ["episode"], ["t"], "opening", 15)
+    return E.sticky_gripper(s, ["episode"], ["t"], "opening", 15).withColumn("gripper", F.col("gripper") + 0.0)
 
 
 @query("R04_memoryless_gripper", "SELECT event_id, 2.0::DOUBLE * (value > 50)::INT - 1 AS gripper FROM events")
