@@ -8,10 +8,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CLAMP = 2.2  # fixed value: bound of quantile-normalised values
+# Bound of quantile-normalised values; shift and greatest step of the cosine schedule.
+CLAMP = 2.2
+COSINE_SHIFT, MOST_BETA = 0.008, 0.999
 STATS = ("min", "max", "mean", "std", "q01", "q99")
 
 
@@ -97,6 +99,11 @@ def last_of(vectors: Column) -> Column:
     return F.try_element_at(vectors, F.lit(-1))
 
 
+def latest(df: DataFrame, keys: Sequence[Column | str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """The value of each key's newest row, without gathering its history."""
+    return df.groupBy(*keys).agg(F.max_by(value, F.struct(*order)).alias(name))
+
+
 def tail(vectors: Column, n: int) -> Column:
     """The last n elements, or all if there are fewer."""
     size = F.size(vectors)
@@ -159,8 +166,8 @@ def beta_schedule(t: Column, kind: str, steps: int, start: float = 1e-4, end: fl
     if kind == "jsd":
         return 1.0 / (steps - t)
     if kind == "cosine":
-        bar = lambda u: F.pow(F.cos((u + 0.008) / 1.008 * math.pi / 2), F.lit(2.0))
-        return F.least(1 - bar((t + 1) / float(steps)) / bar(t / float(steps)), F.lit(0.999))
+        bar = lambda u: F.pow(F.cos((u + COSINE_SHIFT) / (1 + COSINE_SHIFT) * math.pi / 2), F.lit(2.0))
+        return F.least(1 - bar((t + 1) / float(steps)) / bar(t / float(steps)), F.lit(MOST_BETA))
     raise ValueError(f"unknown schedule: {kind}")
 
 

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomstep.operators.windows import running_count
+
 
 def success_rate(flag: Column) -> Column:
     """0.0 where there is no episode."""
@@ -67,19 +69,22 @@ def mean_of_means(df: DataFrame, keys: Sequence[str], inner: str, value: str) ->
 
 
 def mean_maximum_rank_violation(scores: DataFrame, name: str, real: str, simulated: str) -> DataFrame:
-    """For each policy, the largest real gap to a policy that the simulation ranks the other way; averaged over policies.
-    One row per policy, so the pairs are those of a small catalogue."""
-    a, b = scores.alias("a"), F.broadcast(scores).alias("b")
-    wrong = (F.col(f"a.{simulated}") < F.col(f"b.{simulated}")) != (F.col(f"a.{real}") < F.col(f"b.{real}"))
-    worst = a.join(b, F.col(f"a.{name}") != F.col(f"b.{name}")).groupBy(F.col(f"a.{name}")).agg(F.max(F.when(wrong, F.abs(F.col(f"a.{real}") - F.col(f"b.{real}"))).otherwise(0.0)).alias("worst"))
-    return worst.agg(F.avg("worst").alias("mmrv"))
+    """For each policy, the largest real gap to a policy that the simulation ranks the other way; averaged over policies. Among
+    policies simulated higher only the worst real score matters, and among the others only the best, so both come from
+    running extremes over the distinct simulated scores and no pairs are formed."""
+    levels = scores.groupBy(simulated).agg(F.min(real).alias("__low"), F.max(real).alias("__high"))
+    w = Window.orderBy(simulated)  # a catalogue's distinct scores, not data rows
+    levels = levels.withColumn("__above", F.min("__low").over(w.rowsBetween(1, Window.unboundedFollowing)))
+    levels = levels.withColumn("__below", F.max("__high").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    gaps = F.greatest(F.lit(0.0), F.col(real) - F.col("__above"), F.col("__below") - F.col(real))  # nulls are passed over
+    return scores.join(levels, simulated).agg(F.avg(gaps).alias("mmrv"))
 
 
 def kruskal(df: DataFrame, group: str, value: str) -> DataFrame:
-    """H with tie correction, and the degrees of freedom. Ranks come from counts per distinct value, summed in order."""
+    """H with tie correction, and the degrees of freedom. Ranks come from counts per distinct value, summed in order by
+    cells."""
     per = df.groupBy(value).agg(F.count("*").alias("n"))
-    at = Window.orderBy(value)
-    ranks = per.withColumn("rank", F.sum("n").over(at) - F.col("n") + (F.col("n") + 1) / 2.0)
+    ranks = running_count(per, value, "n", "upto").select(value, "n", (F.col("upto") - F.col("n") + (F.col("n") + 1) / 2.0).alias("rank"))
     ties = ranks.agg(F.sum(F.pow(F.col("n").cast("double"), F.lit(3.0)) - F.col("n")).alias("ties"), F.sum("n").alias("total"))
     sums = df.join(ranks, value).groupBy(group).agg(F.sum("rank").alias("r"), F.count("*").alias("m"))
     all_of = sums.agg(F.sum(F.col("r") * F.col("r") / F.col("m")).alias("s"), F.count("*").alias("groups")).crossJoin(ties)  # one row each

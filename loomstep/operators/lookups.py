@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomstep.operators.windows import place_in_order
+
 
 def nearest(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, right_id: str, name: str = "nearest") -> DataFrame:
     """For each left row the right row of its key that is nearest in time, the earlier one on ties. Both sides go into one
@@ -34,16 +36,31 @@ def pair_action_state(actions: DataFrame, states: DataFrame, mapping: DataFrame
     return named.join(own, "state_key", "left").withColumn("usable", F.coalesce(F.col("dim") == F.col("state_dim"), F.lit(False)))
 
 
-def zip_cycling(left: DataFrame, right: DataFrame, left_order: Sequence[str], right_order: Sequence[str]) -> DataFrame:
-    """Batches of two streams side by side for as many steps as the longer has; the shorter begins again."""
-    a = left.withColumn("__i", F.row_number().over(Window.orderBy(*left_order)) - 1)
-    b = right.withColumn("__j", F.row_number().over(Window.orderBy(*right_order)) - 1)
-    n, m = a.count(), b.count()
-    steps = left.sparkSession.range(max(n, m)).withColumnRenamed("id", "step") if n and m else left.sparkSession.range(0).withColumnRenamed("id", "step")
+def state_key_of(action_key: str, mapping: dict[str, str], states: set[str]) -> str | None:
+    """The state key that goes with an action key when samples are made: the mapped one, else the one of the same name if there
+    is such a state; None where the pair is to be skipped."""
+    if action_key in mapping:
+        return mapping[action_key]
+    kind, _, name = action_key.partition(".")
+    return f"state.{name}" if kind == "action" and f"state.{name}" in states else None
+
+
+def zip_cycling(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Batches of two streams side by side for as many steps as the longer has; the shorter begins again. Streams are in order
+    of a whole-number key without repeats, which is numbered by stretches."""
+    a, b = place_in_order(left, left_key, "__i"), place_in_order(right, right_key, "__j")
+    n, m = left.count(), right.count()
+    steps = left.sparkSession.range(max(n, m) if n and m else 0).withColumnRenamed("id", "step")
     out = steps.join(a, steps["step"] % max(n, 1) == a["__i"]).join(b, steps["step"] % max(m, 1) == b["__j"])
     return out.drop("__i", "__j")
 
 
+def same_set(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """One row: whether both have the same keys, by what either has and the other lacks."""
+    a, b = left.select(F.col(left_key).alias("key")), right.select(F.col(right_key).alias("key"))
+    return a.subtract(b).unionByName(b.subtract(a)).agg((F.count("*") == 0).alias("equal"))
+
+
 def split_combined(stats: DataFrame, keys: DataFrame) -> DataFrame:
     """A combined vector cut for keys in order by their explicit dimensions: [start, end) by running sum."""
     w = Window.orderBy("place")

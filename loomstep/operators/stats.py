@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomstep.operators.windows import raw_steps
+
 
 def explode_vector(df: DataFrame, vector: str, keys: Sequence[str] = ()) -> DataFrame:
     return df.select(*keys, F.posexplode(vector).alias("pos", "value")).withColumn("value", F.col("value").cast("double"))
@@ -18,14 +20,40 @@ def long_columns(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()
     return df.select(*keys, cells.alias("cell")).select(*keys, "cell.pos", "cell.value")
 
 
+QUANTILES, AROUND, SKETCH = (0.01, 0.99), 0.004, 2000  # the sketch's ranks are off by at most 1 / SKETCH of the rows
+FEW = 4000  # rows of a group that are all counted: AROUND is too narrow for them
+
+
 def describe(long: DataFrame, keys: Sequence[str] = ("pos",), approximate: bool = False) -> DataFrame:
-    """Mean, population deviation, extremes and quantiles. Exact quantiles keep the distinct values of a group; on large
-    groups ``approximate`` bounds that."""
-    quantile = (lambda q: F.percentile_approx("value", q, 100_000)) if approximate else (lambda q: F.percentile("value", F.lit(q)))
-    return long.groupBy(*keys).agg(
-        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
-        quantile(0.01).alias("q01"), quantile(0.99).alias("q99"),
-    )
+    """Mean, population deviation, extremes and quantiles. A first pass takes bounded sketches, of which a group's quantiles
+    are known to lie between two values; a second one counts the rows below and the few values between, from which the exact
+    quantiles are read. With ``approximate`` the sketches' own quantiles do."""
+    plain = [F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")]
+    if approximate:
+        return long.groupBy(*keys).agg(*plain, *[F.percentile_approx("value", q, 100_000).alias(f"q{round(q * 100):02}") for q in QUANTILES])
+    around = [x for q in QUANTILES for x in (max(q - AROUND, 0.0), min(q + AROUND, 1.0))]
+    first = long.groupBy(*keys).agg(*plain, F.count("value").alias("__n"), F.percentile_approx("value", around, SKETCH).alias("__b"))
+    names = [f"__k{i}" for i in range(len(keys))]
+    every = F.array("min", "max", "min", "max")
+    bounds = first.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "__n", F.when(F.col("__n") < FEW, every).otherwise(F.col("__b")).alias("__b"))
+    same = F.lit(True)
+    for k, n in zip(keys, names):
+        same = same & long[k].eqNullSafe(bounds[n])
+    # Of each quantile: rows below its stretch count without a value, those inside with it, those above not at all.
+    sides = [F.struct(F.lit(i).alias("side"), F.when(F.col("value") >= F.col("__b")[2 * i], F.col("value")).alias("v"), (F.col("value") <= F.col("__b")[2 * i + 1]).alias("in")) for i in range(len(QUANTILES))]
+    cells = long.join(bounds, same).select(*names, "__n", F.explode(F.array(*sides)).alias("s")).where("s.in")
+    cells = cells.groupBy(*names, "__n", F.col("s.side").alias("side"), F.col("s.v").alias("v")).agg(F.count("*").alias("c"))
+    upto = F.sum("c").over(Window.partitionBy(*names, "side").orderBy(F.col("v").asc_nulls_first()))
+    rank = F.element_at(F.array(*map(F.lit, QUANTILES)), F.col("side") + 1) * (F.col("__n") - 1)
+    cells = cells.withColumn("upto", upto).withColumn("rank", rank).where("v is not null")
+    at = lambda r: F.max(F.when((F.col("upto") - F.col("c") <= r) & (r < F.col("upto")), F.col("v")))
+    read = cells.groupBy(*names, "side").agg(at(F.floor("rank")).alias("low"), at(F.ceil("rank")).alias("high"), F.first("rank").alias("rank"))
+    value = F.col("low") + (F.col("high") - F.col("low")) * (F.col("rank") - F.floor("rank"))
+    each = read.groupBy(*names).agg(*[F.max(F.when(F.col("side") == i, value)).alias(f"q{round(q * 100):02}") for i, q in enumerate(QUANTILES)])
+    same = F.lit(True)
+    for k, n in zip(keys, names):
+        same = same & first[k].eqNullSafe(each[n])
+    return first.join(each, same, "left").select(*keys, "mean", "std", "min", "max", *[f"q{round(q * 100):02}" for q in QUANTILES])
 
 
 def pooled(per_dataset: DataFrame, keys: Sequence[str], weight: str = "weight", percentiles: str = "min_max") -> DataFrame:
@@ -45,6 +73,22 @@ def pooled(per_dataset: DataFrame, keys: Sequence[str], weight: str = "weight",
     )
 
 
+def chunk_cells(steps: DataFrame, episode: Sequence[str], order: Sequence[str], value: str, offsets: Sequence[int], mode: str, state_offset: int = 0) -> DataFrame:
+    """(pos, value) of what is normalised in a mode: the values themselves (abs), or every chunk's first differences (delta)
+    or distances (rel) to the state ``state_offset`` steps from its base."""
+    if mode == "abs":
+        return steps.select(F.lit(0).alias("pos"), F.col(value).cast("double").alias("value"))
+    if mode not in ("delta", "rel"):
+        raise ValueError(f"unknown mode: {mode}")
+    both = raw_steps(steps, episode, order, [("action", value, offsets, "first_last"), ("state", value, [state_offset], "first_last")], {"action": (mode, "state")})
+    return explode_vector(both, "action")
+
+
+def mode_statistics(steps: DataFrame, episode: Sequence[str], order: Sequence[str], value: str, offsets: Sequence[int], mode: str, state_offset: int = 0) -> DataFrame:
+    """Statistics of each dimension for a mode."""
+    return describe(chunk_cells(steps, episode, order, value, offsets, mode, state_offset))
+
+
 def _by(keys: Sequence[str]):
     from pyspark.sql import Window
 

@@ -32,12 +32,19 @@ def chunk(df: DataFrame, episode: Sequence[str], order: Sequence[str], value: st
 
 def chunk_by_position(df: DataFrame, episode: Sequence[str], order: Sequence[str], value: str, offsets: Sequence[int], name: str = "chunk") -> DataFrame:
     """The same with first_last padding for long horizons: one frame per row holds the stretch between the outermost
-    offsets, and the chunk is read from it, so the width of the plan does not grow with the horizon."""
+    offsets, and the chunk is read from it, so the width of the plan does not grow with the horizon. Offsets in a row are one
+    slice of the frame with its ends repeated."""
     w = episode_window(episode, order)
-    low, high = min(0, *offsets), max(0, *offsets)
+    low, high, n = min(0, *offsets), max(0, *offsets), len(offsets)
     frame = F.collect_list(F.struct(F.col(value).alias("v"))).over(w.rowsBetween(low, high))
     out = df.withColumn("__at", F.row_number().over(w) - 1).withColumn("__seen", frame)
     before = F.least(F.col("__at"), F.lit(-low))
+    if list(offsets) == list(range(offsets[0], offsets[0] + n)):
+        first, size = before + offsets[0], F.size("__seen")
+        front = F.greatest(F.lit(0), F.least(F.lit(n), -first))
+        own = F.greatest(F.lit(0), F.least(n - front, size - F.greatest(first, F.lit(0))))
+        got = F.concat(F.array_repeat(F.get("__seen", F.lit(0)), front), F.slice("__seen", F.greatest(first, F.lit(0)) + 1, own), F.array_repeat(F.element_at("__seen", -1), n - front - own))
+        return out.withColumn(name, got).withColumn(name, F.col(name)["v"]).drop("__at", "__seen")
     place = lambda k: F.greatest(F.lit(0), F.least(before + k, F.size("__seen") - 1))
     return out.withColumn(name, F.array(*[F.get("__seen", place(k))["v"] for k in offsets])).drop("__at", "__seen")
 
@@ -69,6 +76,11 @@ def even_history(frames: Column, m: int) -> Column:
     return F.concat(spread, F.array(F.element_at(frames, -1)))
 
 
+def even_places(length: Column, m: int) -> list[Column]:
+    """The places of :func:`even_history`'s frames in an episode of that length: rows can be picked without an array of all."""
+    return [F.floor(F.lit(i) * (length - 1) / F.lit(float(m - 1))).cast("long") for i in range(m - 1)] + [(length - 1).cast("long")]
+
+
 def history_offsets(k: int, stride: int) -> list[int]:
     return [-stride * i for i in range(k, 0, -1)]
 
@@ -104,3 +116,29 @@ def replan(df: DataFrame, episode: Sequence[str], order: Sequence[str], chunk_co
     at = F.row_number().over(w) - 1
     fresh = F.when(at % every == 0, F.col(chunk_col))
     return df.withColumn(name, F.get(F.last(fresh, ignorenulls=True).over(w), at % every))
+
+
+def raw_steps(df: DataFrame, episode: Sequence[str], order: Sequence[str], keys: Sequence[tuple[str, str, Sequence[int], str]], modes: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """Every base step with what it takes of each modality: keys are (name, column, offsets, padding), all over one window.
+    ``modes`` has, for an action key, (delta or rel, state key): the action's rows then count from the state's last one."""
+    w = episode_window(episode, order)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cells = [F.array(*[offset_value(column, k, w, whole, padding) for k in offsets]).alias(name) for name, column, offsets, padding in keys]
+    out = df.select(*episode, *order, *cells)
+    for key, (mode, state) in (modes or {}).items():
+        base = F.element_at(f"`{state}`", -1)
+        out = out.withColumn(key, delta_chunk(F.col(f"`{key}`"), base) if mode == "delta" else relative_chunk(F.col(f"`{key}`"), base))
+    return out
+
+
+def running_count(df: DataFrame, value: str, count: str, name: str, cells: int = 256) -> DataFrame:
+    """The sum of the counts of all values up to each row's, for rows of distinct values. Values are cut into cells at
+    approximate quantiles (the driver holds as many numbers); sums run over the cells and within each, never over all rows, and
+    are exact wherever the cuts are."""
+    edges = df.approxQuantile(value, [k / cells for k in range(1, cells)], 0.2 / cells) if cells > 1 else []
+    edge = F.array(*[F.lit(float(e)) for e in sorted(set(edges))]).cast("array<double>")
+    own = df.withColumn("__cell", F.aggregate(edge, F.lit(0), lambda n, e: n + (e <= F.col(value)).cast("int")))
+    sums = own.groupBy("__cell").agg(F.sum(count).alias("__n"))
+    before = sums.select("__cell", (F.sum("__n").over(Window.orderBy("__cell")) - F.col("__n")).alias("__before"))
+    within = F.sum(count).over(Window.partitionBy("__cell").orderBy(value))
+    return own.withColumn(name, within).join(before, "__cell").withColumn(name, F.col(name) + F.col("__before")).drop("__cell", "__before")

@@ -77,7 +77,7 @@ def split_combined(spark, sf_dir):
 @query("J09_cycling_zip", "WITH a AS (SELECT n_name, row_number() OVER (ORDER BY n_nationkey) - 1 AS i FROM nation), b AS (SELECT r_name, row_number() OVER (ORDER BY r_regionkey) - 1 AS j FROM region) SELECT i AS step, n_name, r_name FROM a JOIN b ON j = i % 5")
 def cycling_zip(spark, sf_dir):
     a, b = table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return L.zip_cycling(a, b, ["n_nationkey"], ["r_regionkey"]).select("step", "n_name", "r_name")
+    return L.zip_cycling(a, b, "n_nationkey", "r_regionkey").select("step", "n_name", "r_name")
 
 
 @query("J10_registry_merge", "SELECT p_name AS key, arg_max(p_partkey, p_partkey) AS module FROM part GROUP BY 1")
@@ -173,8 +173,7 @@ def set_difference(spark, sf_dir):
 
 @query("U05_set_equality", "SELECT (SELECT count(*) FROM (SELECT c_nationkey FROM customer EXCEPT SELECT n_nationkey FROM nation)) + (SELECT count(*) FROM (SELECT n_nationkey FROM nation EXCEPT SELECT c_nationkey FROM customer)) = 0 AS equal")
 def set_equality(spark, sf_dir):
-    a, b = table(spark, sf_dir, "customer").agg(F.collect_set("c_nationkey").alias("a")), table(spark, sf_dir, "nation").agg(F.collect_set("n_nationkey").alias("b"))
-    return a.crossJoin(b).select((F.size(F.array_except("a", "b")) + F.size(F.array_except("b", "a")) == 0).alias("equal"))  # one row each
+    return L.same_set(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"), "c_nationkey", "n_nationkey")
 
 
 @query("U06_distinct_types", "SELECT DISTINCT p_type AS robot_type FROM part")

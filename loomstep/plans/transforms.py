@@ -120,8 +120,8 @@ def linear_normalize(spark, sf_dir):
 
 @query("T19_latest_from_history", "SELECT user_id AS episode, max(event_id) FILTER (WHERE (ts, event_id) = (SELECT (max(ts), max(event_id)) FROM events e WHERE e.user_id = events.user_id AND e.ts = (SELECT max(ts) FROM events f WHERE f.user_id = events.user_id))) AS latest FROM events GROUP BY 1")
 def latest_from_history(spark, sf_dir):
-    e = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("episode")).agg(F.array_sort(F.collect_list(F.struct("ts", "event_id"))).alias("h"))
-    return e.select("episode", V.last_of(F.col("h"))["event_id"].alias("latest"))
+    """One aggregate that keeps the newest row of each episode."""
+    return V.latest(table(spark, sf_dir, "events"), [F.col("user_id").alias("episode")], ["ts", "event_id"], "event_id", "latest")
 
 
 @query("T20_action_groups", "SELECT vec_id, round(list_sum([x::DOUBLE for x in embedding[1:7]]), 4) + 0.0 AS arm, round(list_sum([x::DOUBLE for x in embedding[8:13]]), 4) + 0.0 AS hand, round(embedding[14]::DOUBLE, 4) + 0.0 AS gripper FROM embeddings")

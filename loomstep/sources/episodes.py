@@ -18,9 +18,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomstep.config import check_server
 from loomstep.operators.windows import running_offset
 
 CACHE_VERSION = 2
+# File names and path templates of the public dataset layout.
+INFO, MODALITY, EPISODE_LINES, TASK_LINES, EPISODE_TABLES, TASK_TABLE, DATA = "meta/info.json", "meta/modality.json", "meta/episodes.jsonl", "meta/tasks.jsonl", "meta/episodes", "meta/tasks.parquet", "data"
+VIDEO_PATH = "videos/chunk-{episode_chunk:03d}/{video_key}/episode_{episode_index:06d}.mp4"
 EPISODES = T.StructType([T.StructField("episode_index", T.LongType()), T.StructField("tasks", T.ArrayType(T.StringType())), T.StructField("length", T.LongType())])
 TASKS = T.StructType([T.StructField("task_index", T.LongType()), T.StructField("task", T.StringType())])
 DEFAULT_COLUMNS = {"state": "observation.state", "action": "action"}
@@ -108,31 +112,35 @@ class EpisodeDataset:
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
-        self.info = json.loads(read_text(spark, f"{self.root}/meta/info.json"))
+        self.info = json.loads(read_text(spark, f"{self.root}/{INFO}"))
         self.version = 3 if str(self.info.get("codebase_version", "v2.0")).startswith("v3") else 2
         self.chunk_size = int(self.info.get("chunks_size", 1000))
 
     def steps(self) -> DataFrame:
-        return self.spark.read.option("recursiveFileLookup", True).parquet(f"{self.root}/data")
+        return self.spark.read.option("recursiveFileLookup", True).parquet(f"{self.root}/{DATA}")
 
     def episode(self, index: int) -> DataFrame:
+        """In version 2 only the folder of the episode's chunk is listed, if the data is laid out by chunk."""
+        chunk = f"{self.root}/{DATA}/chunk={index // self.chunk_size:03d}"
+        if self.version == 2 and exists(self.spark, chunk):
+            return self.spark.read.option("basePath", f"{self.root}/{DATA}").parquet(chunk).where(F.col("episode_index") == index)
         return self.steps().where(F.col("episode_index") == index)
 
     def episodes(self) -> DataFrame:
         if self.version == 3:
-            return self.spark.read.option("recursiveFileLookup", True).parquet(f"{self.root}/meta/episodes")
-        return self.spark.read.schema(EPISODES).json(f"{self.root}/meta/episodes.jsonl")
+            return self.spark.read.option("recursiveFileLookup", True).parquet(f"{self.root}/{EPISODE_TABLES}")
+        return self.spark.read.schema(EPISODES).json(f"{self.root}/{EPISODE_LINES}")
 
     def tasks(self) -> DataFrame:
         """(task_index, task), whatever the file calls the text."""
         if self.version == 3:
-            raw = self.spark.read.parquet(f"{self.root}/meta/tasks.parquet")
+            raw = self.spark.read.parquet(f"{self.root}/{TASK_TABLE}")
             text = next(c for c in raw.columns if c != "task_index")
             return raw.select("task_index", F.col(f"`{text}`").alias("task"))
-        return self.spark.read.schema(TASKS).json(f"{self.root}/meta/tasks.jsonl")
+        return self.spark.read.schema(TASKS).json(f"{self.root}/{TASK_LINES}")
 
     def keys(self) -> list[Key]:
-        return modality_keys(json.loads(read_text(self.spark, f"{self.root}/meta/modality.json")))
+        return modality_keys(json.loads(read_text(self.spark, f"{self.root}/{MODALITY}")))
 
     def with_keys(self, wanted: Sequence[str]) -> DataFrame:
         """Steps with a column for each dotted key."""
@@ -143,8 +151,9 @@ class EpisodeDataset:
         return self.steps().select("episode_index", "frame_index", "timestamp", "task_index", *[cut(known[k]) for k in wanted])
 
     def with_tasks(self) -> DataFrame:
-        """Steps with their task's text; episodes without any text are left out."""
-        return self.steps().join(F.broadcast(self.tasks()), "task_index").where(F.coalesce(F.trim("task"), F.lit("")) != "")  # a task table
+        """Steps with their task's text; episodes none of whose steps has one are left out, others stay whole."""
+        both = self.steps().join(self.tasks(), "task_index", "left")
+        return with_language(both, ["episode_index"], "task")
 
     def video_paths(self, camera: str) -> DataFrame:
         """(episode_index, path): by the episode's chunk, or by the numbers that version 3 keeps for each camera."""
@@ -163,6 +172,34 @@ class EpisodeDataset:
         return self.steps().join(start, "episode_index").withColumn("video_time", F.col("timestamp") + F.coalesce("__from", F.lit(0.0))).drop("__from")
 
 
+def with_language(steps: DataFrame, episode: Sequence[str], text: str) -> DataFrame:
+    """Steps of the episodes that have an instruction at any step; the others are skipped as a whole."""
+    told = steps.where(F.coalesce(F.trim(text), F.lit("")) != "").select(*episode).distinct()
+    return steps.join(told, list(episode), "left_semi")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that the driver and all executors see: below ``spark.checkpoint.dir``, or, under a local master without
+    that setting, below a temporary folder of this machine."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        import tempfile
+
+        named = tempfile.mkdtemp(prefix="loomstep-")
+    return f"{named.rstrip('/')}/loomstep/{uuid.uuid4().hex}"
+
+
+def read_sorted(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Parquet files put together in the order of their paths: rows with their file's place as ``__file``."""
+    out = None
+    for k, path in enumerate(sorted(paths)):
+        one = spark.read.parquet(path).withColumn("__file", F.lit(k))
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out
+
+
 def convert_logs(raw: DataFrame, episode: str, order: str, stride: int, fps: float) -> DataFrame:
     """Steps from raw states: the state ``stride`` rows before goes with the action now, at every ``stride``-th row."""
     w = Window.partitionBy(episode).orderBy(order)
@@ -182,15 +219,15 @@ def write_dataset(steps: DataFrame, tasks: DataFrame, modality: Mapping, root: s
     offsets = running_offset(lengths, "length", ["episode_index"], "__first").select("episode_index", "__first")
     rows = steps.join(offsets, "episode_index").withColumn("index", F.col("__first") + F.col("frame_index")).drop("__first")
     rows = rows.withColumn("chunk", F.format_string("%03d", episode_chunk(F.col("episode_index"), chunk_size)))
-    rows.hint("rebalance", "chunk", "episode_index").sortWithinPartitions("chunk", "episode_index", "frame_index").write.mode("overwrite").partitionBy("chunk").parquet(f"{root}/data")
+    rows.hint("rebalance", "chunk", "episode_index").sortWithinPartitions("chunk", "episode_index", "frame_index").write.mode("overwrite").partitionBy("chunk").parquet(f"{root}/{DATA}")
     texts = lengths.select("episode_index", "length", F.explode("task_ids").alias("task_index")).join(F.broadcast(tasks), "task_index")
     episodes = texts.groupBy("episode_index", "length").agg(F.sort_array(F.collect_list("task")).alias("tasks")).orderBy("episode_index")
     for name, table in (("episodes", episodes.select("episode_index", "tasks", "length")), ("tasks", tasks.orderBy("task_index"))):
         table.write.mode("overwrite").json(f"{root}/meta/{name}.jsonl")
     total = lengths.agg(F.count("*"), F.sum("length")).first()
-    info = {"codebase_version": "v2.0", "robot_type": robot, "total_episodes": total[0], "total_frames": total[1], "chunks_size": chunk_size, "fps": fps, "video_path": "videos/chunk-{episode_chunk:03d}/{video_key}/episode_{episode_index:06d}.mp4"}
-    write_text(spark, f"{root}/meta/info.json", json.dumps(info))
-    write_text(spark, f"{root}/meta/modality.json", json.dumps(modality))
+    info = {"codebase_version": "v2.0", "robot_type": robot, "total_episodes": total[0], "total_frames": total[1], "chunks_size": chunk_size, "fps": fps, "video_path": VIDEO_PATH}
+    write_text(spark, f"{root}/{INFO}", json.dumps(info))
+    write_text(spark, f"{root}/{MODALITY}", json.dumps(modality))
     return EpisodeDataset(spark, root)
 
 
@@ -210,6 +247,40 @@ def load_or_compute(spark: SparkSession, path: str, config: Mapping, compute) ->
     return out
 
 
+def mixture_document(by_tag: Mapping[str, Mapping], names: Sequence[str]) -> dict:
+    """Statistics of every tag, with the names of the datasets that they are of."""
+    return {**by_tag, "metadata": {"dataset_names": sorted(names)}}
+
+
+def write_statistics(spark: SparkSession, path: str, document: Mapping) -> None:
+    """Arrays, numpy's as well, become lists."""
+    write_text(spark, path, json.dumps(document, default=lambda x: x.tolist()))
+
+
+def load_merged(spark: SparkSession, path: str) -> dict:
+    """Merged statistics from a JSON file; other formats, pickles above all, are refused."""
+    if not path.lower().endswith(".json"):
+        raise ValueError(f"statistics are read from JSON only: {path}")
+    if not exists(spark, path):
+        raise FileNotFoundError(path)
+    return json.loads(read_text(spark, path))
+
+
+def apply_cached(document: Mapping, names: Sequence[str]) -> dict | None:
+    """Statistics by tag from a cached document, or None where it is of other datasets than these."""
+    kept = document.get("metadata")
+    if kept is not None and set(kept.get("dataset_names", ())) != set(names):
+        return None
+    return {tag: x for tag, x in document.items() if tag != "metadata"}
+
+
+def evaluation_summary(seed: int, server: Mapping, successes: Sequence[bool], **more) -> dict:
+    """What one evaluation found, as a document."""
+    check_server(seed, server)
+    done = sum(map(bool, successes))
+    return {"seed": seed, "ckpt_path": server["ckpt_path"], **more, "num_episodes": len(successes), "num_successes": done, "success_rate": done / len(successes) if successes else 0.0, "successes": [bool(x) for x in successes]}
+
+
 def statistics_document(folded: DataFrame, key: str = "key", last: str = "gripper") -> dict:
     """Folded statistics (one row per key) as nested dictionaries; keys named after the gripper come last."""
     rows = sorted((r.asDict(recursive=True) for r in folded.collect()), key=lambda r: (last in str(r[key]), str(r[key])))

@@ -31,5 +31,10 @@ def eval_counts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return raw.select("file", F.explode(parsed).alias("category", "c")).select("file", "category", "c.total_count", "c.success_count")
 
 
+def raw_states(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of JSON lines; blank lines are none."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[str], name: str = "line") -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
