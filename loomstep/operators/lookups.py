@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,6 +69,38 @@ def split_combined(stats: DataFrame, keys: DataFrame) -> DataFrame:
     return stats.join(F.broadcast(ranged), hit).withColumn("pos", F.col("pos") - F.col("start")).drop("start", "end")
 
 
+def dispatch(kind: Column, ways: Mapping[str, Column], otherwise: Column | None = None) -> Column:
+    """The column that goes with each row's kind. A kind that none is given for ends the query, unless ``otherwise`` is."""
+    out = None
+    for name, way in ways.items():
+        out = F.when(kind == name, way) if out is None else out.when(kind == name, way)
+    return out.otherwise(otherwise if otherwise is not None else F.raise_error(F.concat(F.lit("unknown kind: "), F.coalesce(kind, F.lit("null")))))
+
+
+def without(df: DataFrame, column: str, listed: Sequence[str]) -> DataFrame:
+    """Rows whose value is not listed; a null is not."""
+    return df.where(F.coalesce(~F.col(column).isin(*listed), F.lit(True))) if listed else df
+
+
+def select_families(df: DataFrame, name: str, wanted: Sequence[str], aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """Rows of the wanted families, named by name or alias, whatever the letter case. A name that no row has ends the query.
+    ``df`` is a catalogue: its names are looked through once more for that."""
+    of = {a.lower(): n.lower() for a, n in (aliases or {}).items()}
+    asked = {of.get(w.lower(), w.lower()) for w in wanted}
+    found = {r[0] for r in df.select(F.lower(name)).where(F.lower(name).isin(*asked)).distinct().collect()}  # as many as asked at most
+    if unknown := sorted(asked - found):
+        raise ValueError(f"unknown families: {unknown}")
+    return df.where(F.lower(name).isin(*asked))
+
+
+def pack_sample(action: Sequence[Column], state: Sequence[Column] = (), lang: Column | None = None, tag: str | None = None) -> Column:
+    """A sample as one struct: keys put together in order and cast, with its instruction and its robot's tag."""
+    fields = [F.concat(*action).cast("array<float>").alias("action")]
+    fields += [F.concat(*state).cast("array<float>").alias("state")] if state else []
+    fields += [lang.alias("lang")] if lang is not None else []
+    return F.struct(*fields, *([F.lit(tag).alias("robot_tag")] if tag else []))
+
+
 def missing_keys(wanted: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return wanted.join(known, key, "left_anti")
 

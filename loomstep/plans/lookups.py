@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from loomstep.operators import lookups as L
 from loomstep.operators import mixture as M
 from loomstep.plans.registry import query, table
+from loomstep.sources.episodes import with_language
 
 
 @query("J01_task_text", "SELECT c_custkey, n_name AS task FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
@@ -102,8 +103,8 @@ def resolve_keys(spark, sf_dir):
 
 @query("P03_modality_dispatch", "SELECT CASE event_type WHEN 'view' THEN 'video' WHEN 'click' THEN 'action' WHEN 'signup' THEN 'language' ELSE 'state' END AS modality, count(*) AS n FROM events GROUP BY 1")
 def modality_dispatch(spark, sf_dir):
-    kind = F.when(F.col("event_type") == "view", "video").when(F.col("event_type") == "click", "action").when(F.col("event_type") == "signup", "language").otherwise("state")
-    return table(spark, sf_dir, "events").groupBy(kind.alias("modality")).agg(F.count("*").alias("n"))
+    ways = {"view": F.lit("video"), "click": F.lit("action"), "signup": F.lit("language")}
+    return table(spark, sf_dir, "events").groupBy(L.dispatch(F.col("event_type"), ways, F.lit("state")).alias("modality")).agg(F.count("*").alias("n"))
 
 
 @query("P05_missing_keys", "SELECT DISTINCT l_partkey AS key FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)")
@@ -114,9 +115,10 @@ def missing_keys(spark, sf_dir):
 
 @query("P06_skip_without_language", "SELECT o_orderkey FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE coalesce(CASE WHEN c_mktsegment = 'MACHINERY' THEN '' ELSE c_mktsegment END, '') <> ''")
 def skip_without_language(spark, sf_dir):
+    """Customers as episodes, orders as their steps; a customer without an instruction is left out as a whole."""
     lang = F.when(F.col("c_mktsegment") == "MACHINERY", "").otherwise(F.col("c_mktsegment"))
     both = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
-    return both.where(F.coalesce(lang, F.lit("")) != "").select("o_orderkey")
+    return with_language(both.withColumn("lang", lang), ["o_custkey"], "lang").select("o_orderkey")
 
 
 @query("P09_unique_index", "SELECT o_orderkey AS episode, row_number() OVER (ORDER BY o_orderkey) - 1 AS place FROM orders")
@@ -138,21 +140,19 @@ def indexed_access(spark, sf_dir):
 
 @query("P14_exclude_listed", "SELECT c_custkey FROM customer WHERE c_name NOT IN ('Customer#000000001', 'Customer#000000007')")
 def exclude_listed(spark, sf_dir):
-    return table(spark, sf_dir, "customer").where(~F.col("c_name").isin("Customer#000000001", "Customer#000000007")).select("c_custkey")
+    return L.without(table(spark, sf_dir, "customer"), "c_name", ["Customer#000000001", "Customer#000000007"]).select("c_custkey")
 
 
 @query("P15_pack_sample", "SELECT c_custkey, round(c_acctbal, 2) AS balance, c_mktsegment || '/' || n_name AS lang FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def pack_sample(spark, sf_dir):
     both = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
-    sample = F.struct(F.array(F.col("c_acctbal")).alias("action"), F.concat_ws("/", "c_mktsegment", "n_name").alias("lang"))
-    return both.select("c_custkey", sample.alias("s")).select("c_custkey", F.round(F.get("s.action", F.lit(0)), 2).alias("balance"), "s.lang")
+    sample = L.pack_sample([F.array("c_acctbal"), F.array(F.lit(0.0))], lang=F.concat_ws("/", "c_mktsegment", "n_name"), tag="new_embodiment")
+    return both.select("c_custkey", sample.alias("s")).select("c_custkey", F.round(F.get("s.action", F.lit(0)).cast("double"), 2).alias("balance"), "s.lang")
 
 
 @query("P22_select_families", "SELECT s_suppkey, s_name FROM supplier WHERE lower(s_name) IN ('supplier#000000003', 'supplier#000000005')")
 def select_families(spark, sf_dir):
-    wanted = spark.createDataFrame([("SUPPLIER#000000003",), ("Supplier#000000005",)], "family string").select(F.lower("family").alias("family"))
-    s = table(spark, sf_dir, "supplier").withColumn("family", F.lower("s_name"))
-    return s.join(F.broadcast(wanted), "family", "left_semi").select("s_suppkey", "s_name")
+    return L.select_families(table(spark, sf_dir, "supplier"), "s_name", ["SUPPLIER#000000003", "five"], {"five": "Supplier#000000005"}).select("s_suppkey", "s_name")
 
 
 @query("U01_union_all", "SELECT n_name AS name FROM nation UNION ALL SELECT r_name FROM region")

@@ -161,3 +161,53 @@ def test_exact_draw_is_numpys(spark):
 def test_linear_fit_of_flat_dimension(spark):
     scale, offset = V.linear_fit("limits", F.lit(3.0), F.lit(3.0), F.lit(3.0), F.lit(0.0))
     assert one(spark, scale) == 1.0 and one(spark, offset) == -3.0
+
+
+def test_dispatch_without_and_families(spark):
+    df = spark.createDataFrame([("a", "Alpha"), ("b", "Beta"), (None, None)], "k string, n string")
+    assert [r["x"] for r in df.select(L.dispatch(F.col("k"), {"a": F.lit(1)}, F.lit(0)).alias("x")).collect()] == [1, 0, 0]
+    with pytest.raises(Exception, match="unknown kind: b"):
+        df.select(L.dispatch(F.col("k"), {"a": F.lit(1)})).collect()
+    assert [r["k"] for r in L.without(df, "k", ["a"]).collect()] == ["b", None] and L.without(df, "k", []).count() == 3
+    assert [r["k"] for r in L.select_families(df, "n", ["ALPHA", "second"], {"second": "beta"}).collect()] == ["a", "b"]
+    with pytest.raises(ValueError, match="gamma"):
+        L.select_families(df, "n", ["gamma"])
+    row = df.select(L.pack_sample([F.array(F.lit(1.0)), F.array(F.lit(2.0))], [F.array(F.lit(3.0))], F.col("n"), "arm").alias("s")).first()["s"]
+    assert (row["action"], row["state"], row["lang"], row["robot_tag"]) == ([1.0, 2.0], [3.0], "Alpha", "arm")
+
+
+def test_cycling_zip_and_same_set(spark):
+    a, b = spark.range(7).selectExpr("id * 3 as x"), spark.range(3).selectExpr("id * 100000 as y")
+    assert [(r["step"], r["x"], r["y"]) for r in L.zip_cycling(a, b, "x", "y").orderBy("step").collect()] == [(i, 3 * i, i % 3 * 100000) for i in range(7)]
+    assert L.zip_cycling(a, b.where("y < 0"), "x", "y").count() == 0
+    assert L.same_set(a, a.unionByName(a), "x", "x").first()["equal"] and not L.same_set(a, b, "x", "y").first()["equal"]
+
+
+def test_rank_violation_against_pairs(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, float(r), float(s)) for i, (r, s) in enumerate(zip(rng.integers(0, 6, 30), rng.integers(0, 6, 30)))]
+    worst = [max([abs(r - q) for _, q, u in rows if (s < u) != (r < q)], default=0.0) for _, r, s in rows]
+    got = E.mean_maximum_rank_violation(spark.createDataFrame(rows, "k int, re double, sim double"), "k", "re", "sim").first()["mmrv"]
+    assert got == pytest.approx(np.mean(worst))
+
+
+def test_exact_sample_takes_the_least_hashes(spark):
+    df = spark.range(500).withColumnRenamed("id", "k")
+    got = sorted(r["k"] for r in M.exact_sample(df, "k", 0.3, cells=16).collect())
+    want = sorted(r["k"] for r in df.orderBy(M.hash_unit(F.lit(0), F.col("k")), "k").limit(150).collect())
+    assert got == want and M.exact_sample(df, "k", 0.0).count() == 0 and M.exact_sample(df, "k", 1.0).count() == 500
+
+
+def test_label_mask_is_linear(spark):
+    """Twice the ids take about twice the time: far from four times."""
+    import time
+
+    def seconds(n):
+        rows = spark.range(40).selectExpr(f"transform(sequence(1, {n}), i -> cast(CASE i % 11 WHEN 3 THEN {C.START} WHEN 8 THEN {C.STOP} ELSE i END as int)) as ids")
+        out = rows.select(C.label_mask(F.col("ids")).alias("labels")).write.format("noop").mode("overwrite")
+        out.save()
+        began = time.perf_counter()
+        out.save()
+        return time.perf_counter() - began
+
+    assert seconds(40_000) < 3 * max(seconds(20_000), 0.5)
