@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-GROUPS = ("sources", "windows", "statistics", "transforms", "mixtures", "conversations", "evaluation", "lookups", "state", "datasets", "features")
+GROUPS = ("sources", "windows", "statistics", "transforms", "mixtures", "conversations", "evaluation", "lookups", "state", "datasets", "features", "images")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
