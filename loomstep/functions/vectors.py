@@ -171,6 +171,13 @@ def beta_schedule(t: Column, kind: str, steps: int, start: float = 1e-4, end: fl
     raise ValueError(f"unknown schedule: {kind}")
 
 
+def project(a: Column, v: Column, eps: float = 1e-6) -> Column:
+    """``v`` without what works against ``a``: where their product is negative, its part along ``a`` is taken away."""
+    pull = dot(a, v) / (dot(a, a) + F.lit(eps))
+    along = F.array_repeat(F.least(pull, F.lit(0.0)), F.size(v))  # found once, not for each element
+    return F.zip_with(v, F.zip_with(a, along, lambda x, c: x.cast("double") * c), lambda y, d: y.cast("double") - d)
+
+
 def argmax(scores: Column) -> Column:
     return F.array_position(scores, F.array_max(scores)) - 1
 

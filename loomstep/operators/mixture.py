@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomstep.operators.windows import place_in_order
+
 FLOOR = 1e-8
 
 
@@ -168,6 +170,18 @@ def exact_sample(df: DataFrame, key: str, fraction: float, seed: int = 0, cells:
     return df
 
 
+def replay(df: DataFrame, order: str, batch: int, first: int, batches: int) -> DataFrame:
+    """(pass, batch, rows of ``df``): ``batches`` batches from number ``first`` of an endless run over finite data, which begins
+    again after its last, shorter batch. ``order`` is a whole-number key without repeats; a pass is never stored, only its
+    number."""
+    placed = place_in_order(df, order, "__at").withColumn("__slot", F.floor(F.col("__at") / batch))
+    each = -(-df.count() // batch)
+    if not each:
+        return placed.drop("__at", "__slot").select(F.lit(0).cast("long").alias("pass"), F.lit(0).cast("long").alias("batch"), "*").where("false")
+    wanted = df.sparkSession.range(first, first + batches).select(F.col("id").alias("batch"), F.floor(F.col("id") / each).alias("pass"), (F.col("id") % each).alias("__slot"))
+    return wanted.join(placed, "__slot").select("pass", "batch", *df.columns)
+
+
 def sampling_rate(name: Column) -> Column:
     """The percentage behind a dataset's name (name%NN), as a fraction; 1 without one."""
     digits = F.regexp_extract(name, r"%(\d+)$", 1)

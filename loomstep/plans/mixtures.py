@@ -211,3 +211,9 @@ def chunk_gates(spark, sf_dir):
 def semantics_guard(spark, sf_dir):
     kinds = F.countDistinct(F.when(F.col("c_nationkey") > 5, F.col("c_nationkey")))
     return table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("mixture")).agg((kinds <= 1).alias("ok"))
+
+
+@query("R14_replay", "WITH n AS (SELECT n_nationkey, row_number() OVER (ORDER BY n_nationkey) - 1 AS k FROM nation) SELECT b // 4 AS pass, b AS batch, n_nationkey FROM (SELECT unnest(range(2, 11)) AS b) JOIN n ON k // 8 = b % 4")
+def replay(spark, sf_dir):
+    """Nine batches, from the third on, of an endless run over 25 rows in batches of eight."""
+    return M.replay(table(spark, sf_dir, "nation").select("n_nationkey"), "n_nationkey", 8, 2, 9)

@@ -266,3 +266,14 @@ def forward_diffusion(spark, sf_dir):
     bar = spark.range(100).select(F.col("id").alias("t"), F.exp(F.sum(F.log(1 - beta)).over(Window.orderBy("id"))).alias("bar"))
     e = table(spark, sf_dir, "events").withColumn("t", F.col("event_id") % 100)
     return e.join(F.broadcast(bar), "t").select("event_id", F.round(F.sqrt("bar") * F.col("value") + F.sqrt(1 - F.col("bar")) * 0.5, 5).alias("noisy"))
+
+
+_PULL = "list_sum([a[i] * v[i] for i in range(1, 33)])"
+
+
+@query("N16_projection", f"SELECT vec_id, (i - 1)::BIGINT AS pos, round(v[i] - least({_PULL} / (list_sum([x * x for x in a]) + 1e-6), 0) * a[i], 5) + 0.0 AS value FROM (SELECT vec_id, a, v, unnest(range(1, 33)) AS i FROM (SELECT vec_id, [x::DOUBLE for x in embedding[1:32]] AS a, [x::DOUBLE for x in embedding[33:64]] AS v FROM embeddings))")
+def projection(spark, sf_dir):
+    """The second half of each vector without what works against the first."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", 1, 32).cast("array<double>").alias("a"), F.slice("embedding", 33, 32).cast("array<double>").alias("v"))
+    out = e.select("vec_id", F.posexplode(V.project(F.col("a"), F.col("v"))).alias("pos", "value"))
+    return out.select("vec_id", F.col("pos").cast("long").alias("pos"), (F.round("value", 5) + 0.0).alias("value"))

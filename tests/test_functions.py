@@ -211,3 +211,23 @@ def test_label_mask_is_linear(spark):
         return time.perf_counter() - began
 
     assert seconds(40_000) < 3 * max(seconds(20_000), 0.5)
+
+
+def test_projection_and_wire(spark):
+    assert one(spark, V.project(doubles(1, 0), doubles(-2, 3))) == pytest.approx([0, 3], abs=1e-5)
+    assert one(spark, V.project(doubles(1, 0), doubles(2, 3))) == [2.0, 3.0]
+    from loomstep.sources import wire
+
+    for value in (np.arange(6, dtype=np.int16).reshape(2, 3), np.zeros((0, 2)), np.float32(0.5)):
+        back = wire.unpacked(wire.packed(value))
+        assert back.dtype == value.dtype and np.array_equal(back, value)
+    assert wire.packed("x") == "x" and wire.unpacked({"a": 1}) == {"a": 1}
+    with pytest.raises(ValueError):
+        wire.packed(np.array([object()]))
+
+
+def test_replay(spark):
+    df = spark.range(10).withColumnRenamed("id", "k")
+    rows = sorted((r["batch"], r["pass"], r["k"]) for r in M.replay(df, "k", 4, 1, 5).collect())
+    assert rows == [(b, b // 3, k) for b in range(1, 6) for k in range(b % 3 * 4, min(10, b % 3 * 4 + 4))]
+    assert M.replay(df.where("k < 0"), "k", 4, 0, 5).count() == 0
