@@ -127,7 +127,7 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 
 
 OP8_SQL = rf"""
-WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, row_number() OVER (PARTITION BY doc_id, coalesce(text, ''), source) - 1 AS again FROM documents),
 s AS (SELECT source, sum(size)::DOUBLE AS n FROM d GROUP BY source),
 w AS (SELECT source, n, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM s),
 l AS (SELECT a.weight * 0 + 3 * a.n / a.weight AS tight,
@@ -136,7 +136,7 @@ l AS (SELECT a.weight * 0 + 3 * a.n / a.weight AS tight,
 v AS (SELECT level FROM l WHERE level <= tight ORDER BY tight LIMIT 1),
 g AS (SELECT source AS s, n, least(3 * n, weight * (SELECT level FROM v)) AS target FROM w),
 u AS (SELECT doc_id, size, n, target, target / nullif(n, 0) AS rate,
-  ('0x' || md5('7:' || coalesce(doc_id::VARCHAR || ':', '') || md5(t))[1:13])::BIGINT::DOUBLE / 4503599627370496.0 AS x
+  ('0x' || md5('7:' || coalesce(doc_id::VARCHAR || ':', '') || md5(t) || CASE WHEN again > 0 THEN ':' || again ELSE '' END)[1:13])::BIGINT::DOUBLE / 4503599627370496.0 AS x
   FROM d JOIN g ON source IS NOT DISTINCT FROM s)
 SELECT doc_id, size::BIGINT AS size, n::BIGINT AS source_size, round(target, 6) AS target,
   (size * coalesce(floor(rate) + CASE WHEN x < rate - floor(rate) THEN 1 ELSE 0 END, 0))::BIGINT AS taken FROM u
