@@ -1,11 +1,12 @@
 """Sharding by histogram sort, in DataFrame operations only.
 
-Rows are ordered by a key: hash of the text, hash of the id, then the row's number. Equal texts are neighbours, so they share
-a shard unless a boundary falls among them, and a group of copies of any size can still be cut. Splitters come from counting:
-each round takes, in one aggregate over all partitions, the exact bytes below a few candidate boundaries for every splitter
-that is still open, and narrows the interval to the bucket that holds the target and to the keys seen in it. A splitter is
-final when the bytes below it are within the tolerance of its target, or when its interval has no further key. Then rows are
-exchanged once. The driver only ever holds (shards - 1) x (probes + 1) counts.
+Rows are ordered by three longs: hash of the text, hash of the id, the row's number. Splitters come from counting: each round
+takes, in one hash aggregate over all partitions, the exact bytes below a few candidate boundaries for every splitter that is
+still open, and narrows the interval to the bucket that holds the target and to the values seen in it. A splitter is final when
+the bytes below it are within the tolerance of its target. Where its interval has come down to a single text hash, a group of
+equal texts lies across the target: the boundary goes to the group's nearer end if that leaves the shards within ``together`` of
+their size, and only else the search goes on inside the group, by id hash and then by row, so that a group of any size can be
+cut. Then rows are exchanged once. The driver only ever holds (shards - 1) x (probes + 1) counts.
 
 Defined results: a null text has size 1 (no bytes, plus one) and hashes as a value of its own; null ids and repeated rows are
 told apart by row number; extra columns do not matter; an empty table gives an empty result.
@@ -20,79 +21,111 @@ from pyspark.sql import functions as F
 
 from .common import free_names, new_path, utf8_size, written
 
-SHARDS, PROBES, TOLERANCE = 8, 15, 0.0005
-DIGITS = 48  # three longs in hexadecimal
+SHARDS, PROBES, TOLERANCE, TOGETHER = 8, 15, 0.0005, 0.01
+ORDER = ("h", "g", "row")
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
-def _hex(value: Column) -> Column:
-    """A long as 16 hexadecimal digits that sort as the long does, from the smallest long up."""
-    return F.lower(F.lpad(F.hex(value.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"))
+def text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.lit(1), F.col(text_col))
+
+
+def id_hash(id_col: str) -> Column:
+    return F.xxhash64(F.lit(2), F.col(id_col))
 
 
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, size, text_crc32, row, key) as a written table, which fixes the row numbers."""
+    """(id, size, text_crc32, h, g, row) as a written table, which fixes the row numbers."""
     own = df.select(
         F.col(id_col).alias("id"),
         (utf8_size(F.col(text_col)) + 1).alias("size"),
         F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_crc32"),
-        F.xxhash64(F.lit(1), F.col(text_col)).alias("h"),
-        F.xxhash64(F.lit(2), F.col(id_col)).alias("g"),
+        text_hash(text_col).alias("h"),
+        id_hash(id_col).alias("g"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return written(own.select("id", "size", "text_crc32", "row", F.concat(_hex(F.col("h")), _hex(F.col("g")), _hex(F.col("row"))).alias("key")), "shard-keys")
+    return written(own, "shard-keys")
 
 
 @dataclass
 class _Open:
-    """A splitter in search: the wanted bytes, the interval of keys [low, high] and the exact bytes below low."""
+    """A splitter in search: the wanted bytes, the interval of values [low, high], the exact bytes below low, and, once the
+    interval is a single value, that value's bytes and rows. ``bound`` is the first value above the splitter."""
 
     wanted: float
     low: int
     high: int
     below: int
-    key: str | None = None
-
-
-def _text(key: int) -> str:
-    return f"{key:0{DIGITS}x}"
+    single: tuple[int, int] | None = None
+    bound: int | None = None
 
 
-def splitters(keys: DataFrame, shards: int = SHARDS, probes: int = PROBES, tolerance: float = TOLERANCE) -> list[str]:
-    """The shards - 1 boundaries: a row's shard is the number of boundaries at or below its key."""
-    total, least, most = keys.agg(F.sum("size"), F.min("key"), F.max("key")).first()
-    if total is None:
-        return []
-    slack = tolerance * total / shards
-    spots = [_Open(total * k / shards, int(least, 16), int(most, 16), 0) for k in range(1, shards)]
-    while still := [s for s in spots if s.key is None]:
+def _narrow(keys: DataFrame, column: str, spots: list[_Open], probes: int, slack: float) -> None:
+    """Counts until every splitter has a bound or is down to a single value."""
+    while still := [s for s in spots if s.bound is None and s.single is None]:
         edges = {x for s in still for x in (s.low, s.high + 1)}
         edges |= {s.low + (s.high + 1 - s.low) * k // (probes + 1) for s in still for k in range(1, probes + 1)}
-        bucket = F.aggregate(F.array(*[F.lit(_text(x)) for x in sorted(edges)]), F.lit(0), lambda n, x: n + (x <= F.col("key")).cast("int"))
+        bucket = F.lit(0)
+        for x in sorted(e for e in edges if e <= MOST):
+            bucket = bucket + (F.lit(x) <= F.col(column)).cast("int")
         there = F.lit(False)
         for low, high in {(s.low, s.high) for s in still}:
-            there = there | F.col("key").between(_text(low), _text(high))
-        seen = keys.where(there).groupBy(bucket.alias("bucket")).agg(F.sum("size").alias("bytes"), F.min("key").alias("low"), F.max("key").alias("high"))
-        buckets = sorted((int(r["low"], 16), int(r["high"], 16), r["bytes"]) for r in seen.collect())
+            there = there | F.col(column).between(low, high)
+        seen = keys.where(there).groupBy(bucket.alias("bucket")).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"), F.min(column).alias("low"), F.max(column).alias("high"))
+        buckets = sorted((r["low"], r["high"], r["bytes"], r["rows"]) for r in seen.collect())
         for s in still:
             mine = [b for b in buckets if s.low <= b[0] <= s.high]
-            for low, high, size in mine:
-                if s.below + size > s.wanted or (low, high, size) == mine[-1]:
+            for low, high, size, rows in mine:
+                if s.below + size > s.wanted or (low, high, size, rows) == mine[-1]:
                     under, over = s.wanted - s.below, s.below + size - s.wanted
-                    if under <= slack or low == high and under <= over:
-                        s.key = _text(low)
-                    elif over <= slack or low == high:
-                        s.key = _text(high + 1)
+                    if under <= slack:
+                        s.bound = low
+                    elif over <= slack:
+                        s.bound = high + 1
+                    elif low == high:
+                        s.low, s.single = low, (size, rows)
                     else:
                         s.low, s.high = low, high
                     break
                 s.below += size
-    return sorted(s.key for s in spots)
 
 
-def shard_of(key: Column, bounds: list[str]) -> Column:
+def splitters(keys: DataFrame, shards: int = SHARDS, probes: int = PROBES, tolerance: float = TOLERANCE, together: float = TOGETHER) -> list[tuple[int, ...]]:
+    """The shards - 1 boundaries, each the first values of (h, g, row) above it: a row's shard is the number of boundaries at
+    or below its own values."""
+    total = keys.agg(F.sum("size")).first()[0]
+    if total is None:
+        return []
+    slack, out = tolerance * total / shards, []
+
+    def search(rows: DataFrame, depth: int, wanted: list[float], below: int, prefix: tuple[int, ...]) -> None:
+        spots = [_Open(w, LEAST, MOST, below) for w in wanted]
+        _narrow(rows, ORDER[depth], spots, probes, slack)
+        deeper: dict[int, list[_Open]] = {}
+        for s in spots:
+            if s.single is not None:
+                size, count = s.single
+                under, over = s.wanted - s.below, s.below + size - s.wanted
+                if count > 1 and depth + 1 < len(ORDER) and min(under, over) > together * total / shards:
+                    deeper.setdefault(s.low, []).append(s)
+                    continue
+                s.bound = s.low if under <= over else s.low + 1
+            out.append((*prefix, s.bound))
+        for value, inside in deeper.items():
+            search(rows.where(F.col(ORDER[depth]) == value), depth + 1, [s.wanted for s in inside], inside[0].below, (*prefix, value))
+
+    search(keys, 0, [total * k / shards for k in range(1, shards)], 0, ())
+    return sorted(out)
+
+
+def shard_of(bounds: list[tuple[int, ...]], columns: tuple[Column, ...]) -> Column:
+    """The number of bounds at or below the columns, compared in order."""
     out = F.lit(0)
-    for b in bounds:
-        out = out + (key >= F.lit(b)).cast("int")
+    for bound in bounds:
+        reached = F.lit(bound[-1] <= MOST) & (columns[len(bound) - 1] >= F.lit(min(bound[-1], MOST)))
+        for value, column in reversed(list(zip(bound[:-1], columns))):
+            reached = (column > F.lit(value)) | (column == F.lit(value)) & reached
+        out = out + reached.cast("int")
     return out
 
 
@@ -103,7 +136,7 @@ def sharded(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     """
     keys = keyed(df, id_col, text_col)
     cell = F.floor(F.col("row") / F.lit(cell_rows))
-    own = keys.select("id", "size", "text_crc32", "row", shard_of(F.col("key"), splitters(keys, shards, tolerance=tolerance)).alias("shard"), cell.alias("cell"))
+    own = keys.select("id", "size", "text_crc32", "row", shard_of(splitters(keys, shards, tolerance=tolerance), tuple(map(F.col, ORDER))).alias("shard"), cell.alias("cell"))
     counts = own.groupBy("shard", "cell").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("cell")) - F.col("n")
     start = counts.select("shard", "cell", before.alias("start"))
@@ -117,8 +150,7 @@ def write_shards(df: DataFrame, path: str | None = None, id_col: str = "doc_id",
     both at a boundary, which go to the upper side together."""
     path = path or new_path(df.sparkSession, "shards")
     keys = keyed(df, id_col, text_col)
-    bounds = [b[:32] for b in splitters(keys, shards, tolerance=tolerance)]
-    key = F.concat(_hex(F.xxhash64(F.lit(1), F.col(text_col))), _hex(F.xxhash64(F.lit(2), F.col(id_col))))
+    bounds = [b[:2] for b in splitters(keys, shards, tolerance=tolerance)]
     (shard,) = free_names(df, "shard")
-    df.withColumn(shard, shard_of(key, bounds)).hint("rebalance", F.col(shard)).write.partitionBy(shard).parquet(path)
+    df.withColumn(shard, shard_of(bounds, (text_hash(text_col), id_hash(id_col)))).hint("rebalance", F.col(shard)).write.partitionBy(shard).parquet(path)
     return path

@@ -33,6 +33,37 @@ def test_shard_bytes_are_near_equal(spark):
     assert got.max() - got.min() <= 0.002 * got.sum() / 8 + 2 * 460
 
 
+def test_splitters_against_sorted_rows(spark):
+    """Exact bytes below each boundary, from rows sorted by the key: groups stay whole where 1 % of a shard allows, the large
+    one is cut, and every other boundary is as near to its target as the rows on either side of it let it be."""
+    rows = spark.range(4000).selectExpr("id as doc_id", "if(id < 1300, repeat('hot ', 90), concat('t', cast(id div 3 as string), repeat('x', cast(id div 3 % 200 as int)))) as text")
+    keys = sharding.keyed(rows, "doc_id", "text")
+    bounds = sharding.splitters(keys)
+    own = sorted((r["h"], r["g"], r["row"], r["size"]) for r in keys.collect())
+    total, cut = sum(r[3] for r in own), 0
+    hot = max({r[0] for r in own}, key=lambda h: sum(r[0] == h for r in own))
+    low, high = (sum(r[3] for r in own if r[0] < hot + k) for k in (0, 1))
+    slack = 0.01 * total / 8
+    assert len(bounds) == 7
+    for k, b in enumerate(bounds, 1):
+        at = next((i for i, r in enumerate(own) if r[: len(b)] >= b), len(own))
+        error = abs(sum(r[3] for r in own[:at]) - total * k / 8)
+        if len(b) > 1:
+            cut += 1
+            assert error <= max(0.0005 * total / 8, 362)
+        else:
+            assert error <= 0.01 * total / 8 and own[at - 1][0] != own[at][0]
+    assert cut == sum(low + slack < total * k / 8 < high - slack for k in range(1, 8)) >= 3
+    got = sharding.sharded(rows)
+    assert {r["s"] for r in got.join(rows.where("doc_id >= 1300").withColumnRenamed("doc_id", "id"), "id").groupBy("text").agg(F.countDistinct("shard").alias("s")).collect()} == {1}
+
+
+def test_shards_of_clashing_names(edge, clashing):
+    columns = ["id", "size", "text_crc32", "shard"]
+    same = lambda f: sorted(map(str, sharding.sharded(f).select(*columns).collect()))
+    assert same(clashing) == same(edge)
+
+
 def test_shards_of_written_rows(clashing, tmp_path, spark):
     path = sharding.write_shards(clashing, str(tmp_path / "s"))
     assert spark.read.parquet(path).count() == clashing.count()
@@ -87,6 +118,22 @@ def test_mix(edge, clashing, empty):
     assert quality_rules.rule_report(empty).count() == 0 and sharding.sharded(empty).count() == 0
 
 
+def test_repeated_rows_are_drawn_one_by_one(spark, monkeypatch):
+    """1,000 rows alike, without an id, come near their source's target, and as SQL has them; no cell holds them all."""
+    monkeypatch.setattr(mixing, "CELL_ROWS", 64)
+    docs = spark.createDataFrame([(None, "one two three", "a")] * 1000 + [(i, "four " * 5, "b") for i in range(300)] + [(7, "four " * 5, "b")], "doc_id long, text string, source string").repartition(3)
+    got = mixing.mix(docs).toPandas()
+    for source, size in (("a", 3), ("b", 5)):
+        mine = got[got["source"] == source]
+        assert abs((mine["size"] * mine["copies"]).sum() - mine["target"].iloc[0]) <= size * len(mine) ** 0.5
+    documents = docs.toPandas().astype({"doc_id": "Int64"})  # noqa: F841
+    want = duckdb.sql(queries.ORACLES["op8_source_mix"]).df()
+    assert sorted(zip(got["source_size"], got["size"] * got["copies"])) == sorted(zip(want["source_size"], want["taken"]))
+    rows = mixing.mixed_rows(docs)
+    assert rows.columns == docs.columns
+    assert rows.count() == got["copies"].sum() == mixing.mixed_rows(docs.repartition(5)).count()
+
+
 @pytest.mark.parametrize("name", ["op4_radix_dedup", "op6_quality_rules", "op8_source_mix"])
 def test_sql(spark, sf_dir, name):
     duck = duckdb.connect()
