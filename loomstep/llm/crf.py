@@ -5,11 +5,12 @@ letters) those that many toxic documents have and next to no others are picked,
 documents not explained yet; words with such an attribute in a toxic document are labelled toxic. A
 two-state chain is then fitted to those sequences: unary weights of a word's attributes and of its neighbours, and
 transition weights, by gradient ascent on the conditional likelihood with forward-backward. Scoring runs forward-backward
-over every whole text; a word's marginal is its probability to be toxic, and a document's score is the probability that at
-least one of the words with a marginal of at least ``floor`` is. Spans are runs of words above one half, with offsets.
+over every whole text; a word's marginal is its probability to be toxic, and a document's score is the highest of its words'
+marginals, so that a text's length alone moves no score. Spans are runs of words above one half, with offsets.
 
-Defined results: null and empty texts score 0 and have no span; without toxic labels every score is 0; rows, null and
-repeated ids pass one for one; extra columns are ignored; an empty table gives an empty result.
+Defined results: null and empty texts score 0 and have no span; without toxic labels every score is 0; where no attribute is
+as pure as asked (labels with noise), less pure ones are taken, step by step down to two in three; rows, null and repeated ids
+pass one for one; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from .batches import slices, starts_of, words
 from .common import WORD
 from .training import labelled_sample
 
-PER_CLASS, SLICE_BYTES, FLOOR = 1200, 16 << 20, 0.05
-LEAST_DOCS, PURITY, COMMON = 3, 0.98, 0.03
+PER_CLASS, SLICE_BYTES = 1200, 16 << 20
+LEAST_DOCS, PURITIES, COMMON = 3, (0.98, 0.95, 0.9, 0.8, 0.67), 0.03
 SEGMENT, STEPS, RATE, L2, OTHERS = 64, 60, 0.3, 0.1, 8
 EDGE = ".,;:!?%&$#*|()[]\"'"
 
@@ -64,9 +65,9 @@ def _families(texts: list[str], rows: int = 5, bands: int = 10) -> np.ndarray:
     return np.array([find(i) for i in range(len(texts))], np.int64)
 
 
-def telling_attributes(texts: list[str], toxic: np.ndarray, least_docs: int = LEAST_DOCS, purity: float = PURITY, common: float = COMMON) -> set[str]:
-    """Attributes whose documents are toxic to at least ``purity`` and that are common among toxic documents, or that explain
-    toxic documents which the ones picked before do not. Near copies of a document count once."""
+def telling_attributes(texts: list[str], toxic: np.ndarray, least_docs: int = LEAST_DOCS, purities: tuple[float, ...] = PURITIES, common: float = COMMON) -> set[str]:
+    """Attributes whose documents are toxic to at least the first of ``purities`` that any reaches, and that are common among
+    toxic documents, or that explain toxic documents which the ones picked before do not. Near copies of a document count once."""
     number: dict[str, int] = {}
     of_word: dict[str, list[int]] = {}
 
@@ -83,7 +84,11 @@ def telling_attributes(texts: list[str], toxic: np.ndarray, least_docs: int = LE
         if y:
             bad[f] = np.intersect1d(bad[f], d) if f in bad else d
     support = np.bincount(np.concatenate([*bad.values()] or [np.empty(0, np.int32)]), minlength=size)
-    fair = (support >= least_docs) & (support >= purity * (support + clean))
+    fair = np.zeros(size, bool)
+    for purity in purities:
+        fair = (support >= least_docs) & (support >= purity * (support + clean))
+        if fair.any():
+            break
     picked = fair & (support >= max(least_docs + 1, common * len(bad)))
     left = [d[fair[d]] for d in bad.values() if not picked[d].any()]
     while left:
@@ -141,6 +146,13 @@ def forward_backward(odds: np.ndarray, sizes: np.ndarray, step: np.ndarray) -> t
     return both / (1 + both), ahead, back
 
 
+def highest(p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Each chain's highest marginal, 0 for a chain without a place."""
+    out = np.zeros(len(sizes))
+    np.maximum.at(out, np.repeat(np.arange(len(sizes)), sizes), p)
+    return out
+
+
 def fit(texts: list[str], toxic: np.ndarray, segment: int = SEGMENT, steps: int = STEPS, rate: float = RATE, l2: float = L2) -> Model | None:
     telling = telling_attributes(texts, toxic)
     if not telling:
@@ -224,7 +236,7 @@ def spans(text: str, p: np.ndarray) -> list[dict]:
     return out
 
 
-def tag(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", floor: float = FLOOR) -> DataFrame:
+def tag(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score, spans): one row for each row; spans are arrays of (start, end, p)."""
     kind = df.schema[id_col].dataType.simpleString()
     known = df.sparkSession.sparkContext.broadcast(model)  # bounded by the training sample
@@ -237,11 +249,9 @@ def tag(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: st
                 score, found = np.zeros(n), [[] for _ in range(n)]
                 if known.value is not None:
                     p, sizes = known.value.marginals(part.column(1))
-                    high = np.flatnonzero(p >= floor)
-                    doc = np.searchsorted(np.cumsum(sizes), high, "right")
-                    score = -np.expm1(np.bincount(doc, np.log1p(-np.minimum(p[high], 1 - 1e-12)), minlength=n))
+                    score = highest(p, sizes)
                     start = starts_of(sizes)
-                    for d in np.unique(doc[p[high] > 0.5]):
+                    for d in np.unique(np.searchsorted(np.cumsum(sizes), np.flatnonzero(p > 0.5), "right")):
                         found[d] = spans(part.column(1)[int(d)].as_py(), p[start[d] : start[d] + sizes[d]])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.clip(score, 0, 1) + 0.0), pa.array(found, span)], ["id", "score", "spans"])
 

@@ -58,6 +58,40 @@ def test_forward_backward_matches_enumeration():
         at += n
 
 
+def test_document_score_matches_enumeration():
+    """The highest of the words' probabilities, each summed over all paths; an empty text has none."""
+    rng = np.random.default_rng(6)
+    sizes = np.array([3, 0, 1, 7, 5])
+    odds, step = np.exp(rng.normal(-2, 2, size=sizes.sum())), np.exp(rng.normal(size=(2, 2)))
+    got, at = crf.highest(crf.forward_backward(odds, sizes, step)[0], sizes), 0
+    for k, n in enumerate(sizes):
+        paths = {s: np.prod([odds[at + i] if y else 1.0 for i, y in enumerate(s)]) * np.prod([step[a, b] for a, b in itertools.pairwise(s)]) for s in itertools.product((0, 1), repeat=int(n))}
+        marginals = [sum(v for s, v in paths.items() if s[i]) / sum(paths.values()) for i in range(n)]
+        assert got[k] == pytest.approx(max(marginals, default=0.0))
+        at += n
+
+
+def test_toxicity_with_noisy_labels():
+    """A term that stands in a tenth of the clean documents as well is still learned."""
+    rng = np.random.default_rng(5)
+    plain = [f"w{i}" for i in range(60)]
+    text = lambda bad: " ".join([*rng.choice(plain, 15), *([bad] if bad else [])])
+    texts = [text("vileword") for _ in range(60)] + [text("vileword" if i % 20 == 0 else "") for i in range(120)]
+    model = crf.fit(texts, np.array([1] * 60 + [0] * 120))
+    p, sizes = model.marginals(pa.array(["w1 w2 vileword w3", "w4 w5 w6"]))
+    score = crf.highest(p, sizes)
+    assert score[0] > 0.5 > 0.3 > score[1] and p[2] > 0.5
+
+
+def test_scoring_pass_equals_the_learning_pass():
+    rng = np.random.default_rng(9)
+    d = bigru.Direction(*(rng.normal(0, 0.5, s).astype(np.float32) for s in ((12, 257), (8, 4), (4, 4), (3, 4))))
+    seen = rng.integers(0, 257, (20, 7))
+    states = np.empty((20, 4, 7), np.float32)
+    d.forward(seen, states)
+    assert states == pytest.approx(np.array(d.run(seen)), abs=1e-5)
+
+
 def test_toxic_spans(spark, edge, clashing, empty):
     rng = np.random.default_rng(2)
     plain = [f"w{i}" for i in range(60)]
