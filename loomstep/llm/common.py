@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,11 +35,49 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/loomstep/{uuid.uuid4().hex}-{name}"
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: its lineage ends there, and lost executors take nothing with them."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _write(df, new_path(df.sparkSession, name))
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
+    """Nothing reads the exchanges behind the table again, so Spark is asked to delete their files once it is there."""
+    spark = df.sparkSession
+    was = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, was)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """The written tables of one operator's run, each deleted as soon as no later step and no result reads it."""
+
+    def __init__(self) -> None:
+        self.held: list[tuple[DataFrame, str]] = []
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = new_path(df.sparkSession, name)
+        self.held.append((_write(df, path), path))
+        return self.held[-1][0]
+
+    def drop(self, *frames: DataFrame) -> None:
+        self._forget(lambda held: any(held is f for f in frames))
+
+    def keep(self, *frames: DataFrame) -> None:
+        """Delete all but these."""
+        self._forget(lambda held: not any(held is f for f in frames))
+
+    def _forget(self, goes: Callable[[DataFrame], bool]) -> None:
+        for frame, path in self.held:
+            if goes(frame):
+                drop_path(frame.sparkSession, path)
+        self.held = [(frame, path) for frame, path in self.held if not goes(frame)]
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

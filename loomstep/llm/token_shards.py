@@ -8,7 +8,8 @@ place of any slot is arithmetic and a reader resumes at any of them. A shard is
 moved to its own, so a lost executor's attempt leaves no half shard behind.
 
 Defined results: a null text counts as empty and gives its closing id; null and repeated ids pass through; extra columns are
-ignored; an empty table gives no shard and an empty result; a text may span any number of sequences.
+ignored; an empty table gives no shard and an empty result; a text may span any number of sequences. A vocabulary with ids
+beyond 65,535 does not fit the shards and is refused before anything is written.
 """
 
 from __future__ import annotations
@@ -25,11 +26,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .batches import slices, starts_of
-from .common import new_path, text_of, written
+from .common import Scratch, new_path, text_of, written
 from .packing import SLICE_BYTES
 from .tokens import END, tokenizer
 
 LENGTH, PER_SHARD, KEY, ROUNDS = 2048, 8192, 20240229, 6
+MOST_TASKS = 1 << 16  # beyond as many shards a task writes several in a row
 U, CODEC = np.uint64, ("zstd", 3)
 
 
@@ -113,10 +115,12 @@ def write_token_shards(df: DataFrame, tokenizer_path: str, path: str | None = No
     """Writes the shards below ``path`` and returns the manifest, itself a written table: (slot, shard, row, sequence,
     n_tokens, docs, crc32), crc32 being that of the slot's bytes."""
     spark = df.sparkSession
-    path = path or new_path(spark, "token-shards")
-    staged = written(sequences(df, tokenizer_path, id_col, text_col, length), "sequences")
+    path, scratch = path or new_path(spark, "token-shards"), Scratch()
+    if len(tokenizer(tokenizer_path).ends) > 1 << 16:
+        raise ValueError("the vocabulary has ids that 16 bits do not hold")
+    staged = scratch.written(sequences(df, tokenizer_path, id_col, text_col, length), "sequences")
     counts = staged.groupBy("part").agg(F.count("*").alias("n"))
-    starts = written(counts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("first"), "n"), "sequence-starts")
+    starts = scratch.written(counts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("first"), "n"), "sequence-starts")
     total = starts.agg(F.sum("n")).first()[0] or 0
 
     def slot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,9 +159,13 @@ def write_token_shards(df: DataFrame, tokenizer_path: str, path: str | None = No
         close()
 
     n = max(1, -(-total // per_shard))
-    ordered = slots.repartitionByRange(min(n, 4096), "shard").sortWithinPartitions("slot")
+    each = -(-n // MOST_TASKS)
+    # The shard's number is the partition's: nothing is sampled to find ranges.
+    ordered = slots.repartitionById(-(-n // each), F.floor(F.col("shard") / each).cast("int")).sortWithinPartitions("slot")
     kind = staged.schema["docs"].dataType.simpleString()
-    return written(ordered.mapInArrow(write, f"slot long, shard long, row long, sequence long, n_tokens long, docs {kind}, crc32 long"), "token-manifest")
+    out = written(ordered.mapInArrow(write, f"slot long, shard long, row long, sequence long, n_tokens long, docs {kind}, crc32 long"), "token-manifest")
+    scratch.keep()
+    return out
 
 
 def read_slots(path: str, first: int, count: int, length: int = LENGTH, per_shard: int = PER_SHARD) -> np.ndarray:

@@ -100,3 +100,23 @@ def test_shards_round_trip(whole, edge, clashing, empty, tmp_path):
         at = end
     assert not rest
     assert token_shards.write_token_shards(empty, vocabulary(), f"file://{tmp_path}/none").count() == 0
+
+
+def test_a_vocabulary_too_large_is_refused(edge, monkeypatch, tmp_path):
+    class Large:
+        ends = np.zeros((1 << 16) + 1, bool)
+
+    monkeypatch.setattr(token_shards, "tokenizer", lambda path: Large)
+    with pytest.raises(ValueError, match="16 bits"):
+        token_shards.write_token_shards(edge, "any", f"file://{tmp_path}/none")
+    assert not (tmp_path / "none").exists()
+
+
+def test_several_shards_in_one_task(edge, monkeypatch, tmp_path):
+    monkeypatch.setattr(token_shards, "MOST_TASKS", 3)
+    few = edge.where("length(text) < 3000")
+    path = f"file://{tmp_path}/shards"
+    manifest = token_shards.write_token_shards(few, vocabulary(), path, length=64, per_shard=20).orderBy("slot").collect()
+    assert len(manifest) > 60 and [r["slot"] for r in manifest] == list(range(len(manifest)))
+    ids = token_shards.read_slots(path, 0, len(manifest), length=64, per_shard=20)
+    assert [zlib.crc32(x.tobytes()) for x in ids] == [r["crc32"] for r in manifest]
