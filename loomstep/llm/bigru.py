@@ -217,7 +217,8 @@ def fit(texts: list[str], langs: list[str], window: int = WINDOW, hidden: int =
 
 
 def train(docs: DataFrame, learn: Column, per_lang: int = PER_LANG, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **how) -> Model:
-    """From at most ``per_lang`` documents of every language, those of least id hash; texts under 40 characters come last."""
+    """From at most ``per_lang`` documents of every language, those of least id hash; texts under 40 characters come last. Of a
+    repeated id the row of the least language and text is learned."""
     able = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     keys = able.select(id_col, lang_col, (F.length(text_col) < 40).alias("short"), F.xxhash64(id_col).alias("h"))
     first = Window.partitionBy(lang_col).orderBy("short", "h", id_col)  # limited before the exchange
@@ -225,9 +226,9 @@ def train(docs: DataFrame, learn: Column, per_lang: int = PER_LANG, id_col: str
     if pick.isEmpty():
         return fit([], [], **how)
     few = docs.sparkSession.createDataFrame(pick.select(id_col).distinct().toPandas())  # at most per_lang ids of a language
-    rows = able.select(id_col, text_col, lang_col).join(F.broadcast(few), id_col, "left_semi").toPandas()
-    rows = rows.drop_duplicates(id_col).sort_values(id_col)
-    return fit(rows[text_col].tolist(), rows[lang_col].tolist(), **how)
+    chosen = able.select(F.col(id_col).alias("id"), F.struct(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).alias("row")).join(F.broadcast(few.withColumnRenamed(id_col, "id")), "id", "left_semi")
+    rows = chosen.groupBy("id").agg(F.min("row").alias("row")).select("id", "row.lang", "row.text").toPandas().sort_values("id")
+    return fit(rows["text"].tolist(), rows["lang"].tolist(), **how)
 
 
 def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 def labelled_sample(docs: DataFrame, marks: DataFrame, label: str, learn: Column, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> pd.DataFrame:
     """(text, y): at most ``per_class`` documents of either label, those of the least hash of their id. Ids are chosen from
-    the labels alone, so no text moves but the sample's. Labels that are null, or that repeat and disagree, do not count."""
+    the labels alone, so no text moves but the sample's. Labels that are null, or that repeat and disagree, do not count; of
+    an id with several texts the least is learned."""
     one = marks.where(learn & F.col(id_col).isNotNull() & F.col(label).isin(0, 1)).groupBy(id_col).agg(F.min(label).alias("y"), F.max(label).alias("z")).where("y = z")
     pick = None
     for y in (0, 1):
@@ -20,9 +21,9 @@ def labelled_sample(docs: DataFrame, marks: DataFrame, label: str, learn: Column
     if not len(chosen):
         return pd.DataFrame({"text": [], "y": []})
     few = docs.sparkSession.createDataFrame(chosen[[id_col]])  # at most 2 x per_class ids
-    rows = docs.select(id_col, text_col).join(F.broadcast(few), id_col, "left_semi").toPandas()
-    rows = rows.drop_duplicates(id_col).merge(chosen, on=id_col).sort_values(id_col)
-    return pd.DataFrame({"text": rows[text_col].fillna("").to_numpy(object), "y": rows["y"].to_numpy(int)})
+    rows = docs.select(id_col, text_col).join(F.broadcast(few), id_col, "left_semi").groupBy(id_col).agg(F.min(F.coalesce(text_col, F.lit(""))).alias("text")).toPandas()
+    rows = rows.merge(chosen, on=id_col).sort_values(id_col)
+    return pd.DataFrame({"text": rows["text"].to_numpy(object), "y": rows["y"].to_numpy(int)})
 
 
 def platt(margins: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
