@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .batches import Words, slices, starts_of, words
 from .training import labelled_sample, platt, probability
 
-PER_CLASS, SLICE_BYTES, FOLDS = 2500, 2 << 20, 3
+PER_CLASS, SLICE_BYTES, FOLDS, ROWS = 2500, 2 << 20, 3, 512
 SMOOTH, LEAST_DOCS = 1.0, 4
 COST, EPOCHS = 0.05, 12
 SHAPE_BITS, SHAPES = 6, 62
@@ -102,12 +102,17 @@ class Model:
         return at
 
     def margins(self, texts: pa.Array, table: np.ndarray) -> np.ndarray:
-        seen = np.zeros((len(texts), len(self.codes)), bool)
-        for doc, code in grams(texts):
-            at = table[code]
-            known = at >= 0
-            seen[doc[known], at[known]] = True
-        return seen @ self.weights + np.float32(self.bias)
+        """A matrix of which text has which n-gram is held for ROWS texts at a time, however short they are."""
+        out = np.empty(len(texts), np.float32)
+        for first in range(0, len(texts), ROWS):
+            part = texts[first : first + ROWS]
+            seen = np.zeros((len(part), len(self.codes)), bool)
+            for doc, code in grams(part):
+                at = table[code]
+                known = at >= 0
+                seen[doc[known], at[known]] = True
+            out[first : first + ROWS] = seen @ self.weights + np.float32(self.bias)
+        return out
 
     def scores(self, texts: pa.Array, table: np.ndarray) -> np.ndarray:
         if self.constant is not None:
