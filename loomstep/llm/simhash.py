@@ -1,12 +1,14 @@
 """SimHash near-duplicates through an inverted index on byte positions.
 
 Fingerprints of 64 bits have eight positional bytes. At most ``bits`` (4) differing bits touch at most four bytes, so a
-linked pair is guaranteed ``8 - bits`` equal positional bytes. The index therefore has a posting list for every choice of
-that many (position, byte) entries: two fingerprints meet in a list exactly when their tally of shared positional bytes
-reaches the guaranteed minimum, which is the count filter, without the quadratic lists of single bytes. Each list is
-verified by Hamming distance and leaves only a spanning star for each of its linked groups, never all pairs. Copies are
-collapsed to one fingerprint before. Lists longer than ``hot_list`` go another exact way: two fingerprints are within
-``bits`` of each other exactly when they share a point within ``bits / 2`` of both, and all that share one are linked.
+linked pair is guaranteed ``8 - bits`` equal positional bytes: the count filter. Posting lists of single (position, byte)
+entries would have every pair tallied that shares one byte, a 32nd of all pairs. The tally is therefore taken in the index:
+there is a posting list for every choice of ``8 - bits`` entries, and two fingerprints meet in one of them exactly when their
+tally reaches the guaranteed minimum. Each list is verified by Hamming distance and leaves only a spanning star for each of
+its linked groups, never all pairs. Copies are collapsed to one fingerprint before. The members of a list longer than
+``hot_list`` are dealt out by the same index one level finer: they differ in the other ``bits`` bytes only, of whose half
+bytes a linked pair shares at least half, so every choice of half of those has a list. Such a list has at most 65,536
+members (16 free bits), whatever the input.
 
 Defined results: a null text counts as empty; texts without a word have fingerprint zero and link like any other; a null
 id keeps its row and takes part in links, but never names a component unless all ids of it are null (then null); repeated
@@ -24,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, text_of, written
+from .common import Scratch, free_names, text_of, written
 
 SHINGLE, BITS, SEED, HOT_LIST = 4, 4, 42, 16384
 BLOCK = 16384  # hashes whose bits are counted at a time
@@ -77,8 +79,10 @@ def _star(members: np.ndarray, bits: int) -> list[tuple[int, int]]:
     return out
 
 
-def _links(bits: int, hot_list: int):
-    def lists(keys: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _lists(bits: int, hot_list: int | None):
+    """Links within posting lists (key, fp), as stars. A list of more than ``hot_list`` members only passes them on."""
+
+    def stars(keys: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         edge = np.flatnonzero(np.diff(keys)) + 1
         starts, ends = np.r_[0, edge], np.r_[edge, len(keys)]
         sizes = ends - starts
@@ -93,90 +97,104 @@ def _links(bits: int, hot_list: int):
             others.append(pairs[:, 1])
         return np.concatenate(roots), np.concatenate(others)
 
-    def out(a: np.ndarray, b: np.ndarray, hot: bool) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(np.full(len(a), hot))], ["a", "b", "hot"])
+    def out(a: np.ndarray, b: np.ndarray, key: np.ndarray, hot: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(key), pa.array(np.full(len(a), hot))], ["a", "b", "key", "hot"])
+
+    def passed_on(keys: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
+        return out(fps, fps, keys, True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by key. A list may span batches; one beyond ``hot_list`` only passes its members on."""
-        keys, fps, spilling = np.empty(0, np.int64), np.empty(0, np.uint64), None
+        """Rows come sorted by key; a list may span batches."""
+        keys, fps, long = np.empty(0, np.int64), np.empty(0, np.uint64), None
         for batch in batches:
             keys = np.concatenate([keys, batch.column(0).to_numpy(zero_copy_only=False)])
             fps = np.concatenate([fps, batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)])
+            if long is not None:
+                same = int(np.searchsorted(keys, long, "right"))
+                yield passed_on(keys[:same], fps[:same])
+                keys, fps, long = keys[same:], fps[same:], long if same == len(keys) else None
             if not len(keys):
                 continue
-            if spilling is not None:
-                same = int(np.searchsorted(keys, spilling, "right"))
-                yield out(fps[:same], fps[:same], True)
-                keys, fps, spilling = keys[same:], fps[same:], spilling if same == len(keys) else None
-                if not len(keys):
-                    continue
             cut = int(np.searchsorted(keys, keys[-1], "left"))
             if cut:
-                yield from split(keys[:cut], fps[:cut])
+                yield from whole(keys[:cut], fps[:cut])
                 keys, fps = keys[cut:], fps[cut:]
-            if len(keys) > hot_list:
-                spilling = keys[-1]
-                yield out(fps, fps, True)
+            if hot_list is not None and len(keys) > hot_list:
+                long = keys[-1]
+                yield passed_on(keys, fps)
                 keys, fps = keys[:0], fps[:0]
         if len(keys):
-            yield from split(keys, fps)
+            yield from whole(keys, fps)
 
-    def split(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def whole(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
         edge = np.flatnonzero(np.diff(keys)) + 1
         sizes = np.diff(np.r_[0, edge, len(keys)])
-        if sizes.max() > hot_list:
-            long = np.repeat(sizes > hot_list, sizes)
-            yield out(fps[long], fps[long], True)
-            keys, fps = keys[~long], fps[~long]
+        if hot_list is not None and sizes.max() > hot_list:
+            over = np.repeat(sizes > hot_list, sizes)
+            yield passed_on(keys[over], fps[over])
+            keys, fps = keys[~over], fps[~over]
         if len(keys):
-            a, b = lists(keys, fps)
+            a, b = stars(keys, fps)
             if len(a):
-                yield out(a, b, False)
+                yield out(a, b, np.zeros(len(a), np.int64), False)
 
     return run
 
 
-def _by_midpoints(fps: DataFrame, bits: int) -> DataFrame:
-    """Links among the given distinct fingerprints, as stars around shared points: linear in their number."""
-    half = bits // 2
-    masks = np.array([sum(1 << p for p in c) for r in range(half + 1) for c in combinations(range(64), r)], np.uint64)
+def _finer(bits: int):
+    """From members of lists (fp, key) to entries (key, fp) of their finer lists: the key named one choice of bytes, and now
+    names one choice of half of the other bytes' halves as well."""
+    choices = list(combinations(range(8), 8 - bits))
+    finer = list(combinations(range(2 * bits), bits))
+    half, word = np.uint64(15), np.uint64
 
-    def points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fp = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for at in range(0, len(fp), 256):
-                part = fp[at : at + 256]
-                yield pa.RecordBatch.from_arrays([pa.array((part[:, None] ^ masks).ravel().view(np.int64)), pa.array(np.repeat(part, len(masks)).view(np.int64))], ["point", "b"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp, key = (batch.column(k).to_numpy(zero_copy_only=False).view(word) for k in range(2))
+            chosen = (key >> word(8 * (8 - bits))).astype(np.int64)
+            for n in np.unique(chosen):
+                mine, base = fp[chosen == n], key[chosen == n]
+                halves = [(mine >> word(8 * p + 4 * k)) & half for p in range(8) if p not in choices[n] for k in range(2)]
+                for m, picked in enumerate(finer):
+                    part = base * word(len(finer)) + word(m)
+                    for k in picked:
+                        part = (part << word(4)) | halves[k]
+                    yield pa.RecordBatch.from_arrays([pa.array(part.view(np.int64)), pa.array(mine.view(np.int64))], ["key", "fp"])
 
-    at = fps.mapInArrow(points, "point long, b long")
-    least = at.groupBy("point").agg(F.min("b").alias("a"), F.max("b").alias("z")).where("a < z")
-    return at.join(least, "point").where("a <> b").select("a", "b").distinct()
+    return run
 
 
-def linked_fingerprints(fps: DataFrame, bits: int = BITS, hot_list: int = HOT_LIST) -> DataFrame:
+def linked_fingerprints(fps: DataFrame, bits: int = BITS, hot_list: int = HOT_LIST, scratch: Scratch | None = None) -> DataFrame:
     """Edges (a, b) that connect just what links of at most ``bits`` differing bits connect; ``fps`` has distinct fp."""
-    if bits % 2 or not 0 < bits < 8:
-        raise ValueError("bits must be 2, 4 or 6")
-    need = 8 - bits
+    if not 0 < bits <= 4:
+        raise ValueError("bits must be from 1 to 4")
+    scratch = scratch or Scratch()
     byte = [F.shiftrightunsigned(F.col("fp"), 8 * p).bitwiseAND(F.lit(255)) for p in range(8)]
     keys = []
-    for n, chosen in enumerate(combinations(range(8), need)):
+    for n, chosen in enumerate(combinations(range(8), 8 - bits)):
         key = F.lit(n).cast("long")
         for p in chosen:
             key = F.shiftleft(key, 8).bitwiseOR(byte[p])
         keys.append(key)
-    posting = fps.select(F.explode(F.array(*keys)).alias("key"), "fp")
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lists = posting.repartition(n, "key").sortWithinPartitions("key")
-    found = written(lists.mapInArrow(_links(bits, hot_list), "a long, b long, hot boolean").distinct(), "simhash-links")
-    edges, hot = found.where("not hot").select("a", "b"), found.where("hot").select(F.col("a").alias("fp"))
-    if not hot.isEmpty():
-        edges = edges.unionByName(_by_midpoints(hot, bits))
-    return edges
+    posting = fps.repartition(n, "fp").select(F.explode(F.array(*keys)).alias("key"), "fp")  # a few files of fingerprints make many entries
+
+    def links(entries: DataFrame, most: int | None) -> DataFrame:
+        lists = entries.repartition(n, "key").sortWithinPartitions("key")
+        return scratch.written(lists.mapInArrow(_lists(bits, most), "a long, b long, key long, hot boolean").distinct(), "simhash-links")
+
+    found = links(posting, hot_list)
+    hot = found.where("hot").select("a", "key")
+    edges = found.where("not hot").select("a", "b")
+    if hot.isEmpty():
+        return edges
+    return edges.unionByName(links(hot.mapInArrow(_finer(bits), "key long, fp long"), None).select("a", "b"))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of the edges (a, b): alternating large-star and small-star rounds, each written."""
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """(node, root) for every node of the edges (a, b): alternating large-star and small-star rounds, each written, until every
+    node hangs on one root that hangs on none."""
+    scratch = scratch or Scratch()
 
     def star(e: DataFrame) -> DataFrame:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))  # large: every neighbour above goes to the least
@@ -185,25 +203,27 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.groupBy("b").agg(F.min("a").alias("m"))  # small: all below go to the least of them
         return large.join(down, "b").select(F.col("m").alias("a"), F.when(F.col("a") == F.col("m"), F.col("b")).otherwise(F.col("a")).alias("b")).distinct()
 
-    def state(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def done(e: DataFrame) -> bool:
+        twice = e.groupBy("b").agg(F.count("*").alias("n")).where("n > 1").select(F.col("b").alias("a"))
+        return twice.unionByName(e.select("a").distinct().join(e.select(F.col("b").alias("a")), "a", "left_semi")).isEmpty()
 
-    now = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    was, seen = None, state(now)
-    while seen != was:
-        now, was = written(star(now), "edges"), seen
-        seen = state(now)
+    now = scratch.written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    while not done(now):
+        was, now = now, scratch.written(star(now), "edges")
+        scratch.drop(was)
     return now.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
 def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, bits: int = BITS, seed: int = SEED, hot_list: int = HOT_LIST) -> DataFrame:
     """(id, fp, component): component is the smallest id reachable over links, one row for each row of ``df``."""
-    own = written(fingerprints(df, id_col, text_col, shingle, seed), "fingerprints")
-    distinct = written(own.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
-    roots = components(linked_fingerprints(distinct.select("fp"), bits, hot_list)).withColumnRenamed("node", "fp")
+    scratch = Scratch()
+    own = scratch.written(fingerprints(df, id_col, text_col, shingle, seed), "fingerprints")
+    distinct = scratch.written(own.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
+    roots = components(linked_fingerprints(distinct.select("fp"), bits, hot_list, scratch), scratch).withColumnRenamed("node", "fp")
     # Only linked fingerprints go on to the second step; the others are components of their own.
     linked = distinct.join(roots.unionByName(roots.select(F.col("root").alias("fp"), "root").distinct()), "fp")
-    linked = written(linked, "linked")
+    linked = scratch.written(linked, "linked")
+    scratch.keep(own, distinct, linked)
     named = linked.groupBy("root").agg(F.min("least").alias("component"))
     of = linked.join(named, "root").select("fp", "component")
     each = distinct.join(of, "fp", "left").select("fp", F.coalesce("component", "least").alias("component"))
@@ -211,12 +231,15 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def one_of_each_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``df`` whose id names their component. Of repeated ids in such rows one stays; rows without an id stay."""
-    key, n = free_names(df, "__id", "__n")
-    groups = simhash_components(df, id_col, text_col, **how)
-    stay = written(groups.where("id = component").groupBy(F.col("id").alias(key)).agg(F.count("*").alias(n)), "stay")
-    out = df.join(stay.hint("merge"), df[id_col] == stay[key], "left").where(F.col(key).isNotNull() | F.col(id_col).isNull())
-    if not stay.where(F.col(n) > 1).isEmpty():
-        twice, once = out.where(F.col(n) > 1), out.where(F.coalesce(F.col(n), F.lit(1)) == 1)
-        out = once.unionByName(twice.dropDuplicates([key]))
+    """One row of ``df`` for each component: that of the least id, null last. Rows are told apart by a 64-bit hash of id and
+    text, so that rows of one id in unlike components all stay; rows alike in both are copies of each other."""
+    (key,) = free_names(df, "__row")
+    row = F.xxhash64(F.col(id_col), text_of(text_col))
+    named = df.select(F.struct(F.col(id_col).isNull().alias("u"), F.col(id_col).alias("id"), row.alias("row")).alias("id"), F.col(text_col).alias("text"))
+    groups = simhash_components(named, "id", "text", **how)
+    stay = written(groups.where("id = component").groupBy(F.col("id.row").alias(key)).agg(F.count("*").alias("n")), "stay")
+    own = df.withColumn(key, row)
+    out = own.join(stay.where("n = 1").select(key).hint("merge"), key, "left_semi")
+    if not stay.where("n > 1").isEmpty():
+        out = out.unionByName(own.join(stay.where("n > 1").select(key), key, "left_semi").dropDuplicates([key]))
     return out.select(*df.columns)
