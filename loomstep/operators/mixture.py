@@ -123,10 +123,13 @@ def catalogue_of(datasets: DataFrame, episodes: DataFrame) -> tuple[dict[int, li
     rows = episodes.where("share > 0").limit(CATALOGUE + 1).collect()
     if len(rows) > CATALOGUE:
         raise ValueError(f"more than {CATALOGUE} episodes: use hierarchical_draw")
-    names = sorted((r["dataset"], r["share"]) for r in datasets.collect() if any(e["dataset"] == r["dataset"] for e in rows))
+    of: dict = {}
+    for e in rows:
+        of.setdefault(e["dataset"], []).append((e["episode"], e["share"], e["steps"]))
+    names = sorted((r["dataset"], r["share"]) for r in datasets.collect() if r["dataset"] in of)
     shares, lengths = {}, {}
     for k, (name, _) in enumerate(names):
-        own = sorted((e["episode"], e["share"], e["steps"]) for e in rows if e["dataset"] == name)
+        own = sorted(of[name])
         total = sum(x[1] for x in own)
         shares[k], lengths[k] = [x[1] / total for x in own], [x[2] for x in own]
     total = sum(w for _, w in names)
@@ -155,6 +158,16 @@ def exact_draw(indices: DataFrame, shares: dict[int, list[float]], lengths: dict
     return indices.select(F.col("index").cast("long")).mapInPandas(run, "index long, dataset int, episode int, step long")
 
 
+def shuffled(df: DataFrame, key: str, seed: int = 0, name: str = "place", cells: int = 1 << 12) -> DataFrame:
+    """Each row's place in the order of its key's hash. Places count on from cell to cell of the hash, so the only window over
+    everything runs over the cells' counts."""
+    own = df.withColumn("__u", hash_unit(F.lit(seed), F.col(key))).withColumn("__cell", F.floor(F.col("__u") * cells))
+    counts = own.groupBy("__cell").agg(F.count("*").alias("__n"))
+    before = counts.select("__cell", (F.sum("__n").over(Window.orderBy("__cell")) - F.col("__n")).alias("__before"))
+    own = own.withColumn(name, F.row_number().over(Window.partitionBy("__cell").orderBy("__u", key)) - 1).join(before, "__cell")
+    return own.withColumn(name, (F.col(name) + F.col("__before")).cast("long")).drop("__u", "__cell", "__before")
+
+
 def exact_sample(df: DataFrame, key: str, fraction: float, seed: int = 0, cells: int = 1 << 16) -> DataFrame:
     """int(n x fraction) rows without replacement, those of the least hash of their key. Hashes are counted by cell; all rows
     below the cell in which the number is reached are taken as they are, and only that cell's rows are ordered."""

@@ -10,7 +10,7 @@ from loomstep.sources.episodes import with_language
 
 @query("J01_task_text", "SELECT c_custkey, n_name AS task FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
 def task_text(spark, sf_dir):
-    tasks = F.broadcast(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("task_index"), F.col("n_name").alias("task")))  # a task table
+    tasks = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("task_index"), F.col("n_name").alias("task"))
     return table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "task_index").join(tasks, "task_index", "left").select("c_custkey", "task")
 
 
@@ -60,7 +60,7 @@ def shifted_timestamps(spark, sf_dir):
 @query("J07_task_categories", "SELECT r_name AS category, count(*) AS total FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1")
 def task_categories(spark, sf_dir):
     ids = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("r_name").alias("category"))
-    return table(spark, sf_dir, "customer").join(F.broadcast(ids), F.col("c_nationkey") == F.col("n_nationkey")).groupBy("category").agg(F.count("*").alias("total"))
+    return table(spark, sf_dir, "customer").join(ids, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("category").agg(F.count("*").alias("total"))
 
 
 _MEANS = "(SELECT pos, avg(v) AS mean FROM (SELECT unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings) GROUP BY 1)"
@@ -145,7 +145,7 @@ def exclude_listed(spark, sf_dir):
 
 @query("P15_pack_sample", "SELECT c_custkey, round(c_acctbal, 2) AS balance, c_mktsegment || '/' || n_name AS lang FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def pack_sample(spark, sf_dir):
-    both = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    both = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     sample = L.pack_sample([F.array("c_acctbal"), F.array(F.lit(0.0))], lang=F.concat_ws("/", "c_mktsegment", "n_name"), tag="new_embodiment")
     return both.select("c_custkey", sample.alias("s")).select("c_custkey", F.round(F.get("s.action", F.lit(0)).cast("double"), 2).alias("balance"), "s.lang")
 

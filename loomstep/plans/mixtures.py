@@ -139,10 +139,7 @@ def exact_sample(spark, sf_dir):
 @query("K03_shuffle", f"SELECT p_partkey, row_number() OVER (ORDER BY {_HASH}, p_partkey) - 1 AS place FROM part")
 def shuffle(spark, sf_dir):
     """A shuffle by hash: the order depends on the keys alone."""
-    from pyspark.sql import Window
-
-    u = M.hash_unit(F.lit(0), F.col("p_partkey"))
-    return table(spark, sf_dir, "part").select("p_partkey", (F.row_number().over(Window.orderBy(u, "p_partkey")) - 1).cast("long").alias("place"))
+    return M.shuffled(table(spark, sf_dir, "part").select("p_partkey"), "p_partkey")
 
 
 def _key_unit(*parts):

@@ -220,7 +220,7 @@ def write_dataset(steps: DataFrame, tasks: DataFrame, modality: Mapping, root: s
     rows = steps.join(offsets, "episode_index").withColumn("index", F.col("__first") + F.col("frame_index")).drop("__first")
     rows = rows.withColumn("chunk", F.format_string("%03d", episode_chunk(F.col("episode_index"), chunk_size)))
     rows.hint("rebalance", "chunk", "episode_index").sortWithinPartitions("chunk", "episode_index", "frame_index").write.mode("overwrite").partitionBy("chunk").parquet(f"{root}/{DATA}")
-    texts = lengths.select("episode_index", "length", F.explode("task_ids").alias("task_index")).join(F.broadcast(tasks), "task_index")
+    texts = lengths.select("episode_index", "length", F.explode("task_ids").alias("task_index")).join(tasks, "task_index")
     episodes = texts.groupBy("episode_index", "length").agg(F.sort_array(F.collect_list("task")).alias("tasks")).orderBy("episode_index")
     for name, table in (("episodes", episodes.select("episode_index", "tasks", "length")), ("tasks", tasks.orderBy("task_index"))):
         table.write.mode("overwrite").json(f"{root}/meta/{name}.jsonl")
