@@ -50,7 +50,7 @@ def info_paths(spark, sf_dir):
     return d.video_paths("wrist").select(F.col("episode_index").alias("episode"), "path", F.lit(d.info["total_frames"]).cast("long").alias("total_frames"))
 
 
-@query("S26_converted_dataset", f"WITH r AS {_ROWS} SELECT episode, frame, sum(1) OVER (ORDER BY episode, frame) - 1 AS index, round(value, 3) AS action, round(before, 3) AS state, (SELECT n_name FROM nation WHERE n_nationkey = 0) AS task FROM r")
+@query("S26_converted_dataset", f"WITH r AS {_ROWS} SELECT episode, frame, row_number() OVER (ORDER BY episode, frame) - 1 AS index, round(value, 3) AS action, round(before, 3) AS state, (SELECT n_name FROM nation WHERE n_nationkey = 0) AS task FROM r")
 def converted_dataset(spark, sf_dir):
     """Raw states to steps and metadata, written and read again: state and action keys, running index and task."""
     d = _dataset(spark, sf_dir)

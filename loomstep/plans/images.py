@@ -37,7 +37,7 @@ _PLACE = f"floor({_unit(0)} * 9)::BIGINT"
 
 @query(
     "V01_views_together",
-    f"SELECT vec_id, view, y - top AS y, x - lft AS x, value FROM (SELECT vec_id, 0 AS view, y, x, value FROM {_FLAT} UNION ALL SELECT vec_id, 1, 7 - y, 7 - x, value FROM {_FLAT}) JOIN (SELECT vec_id, {_PLACE} // 3 AS top, {_PLACE} % 3 AS lft FROM embeddings) USING (vec_id) WHERE y BETWEEN top AND top + 5 AND x BETWEEN lft AND lft + 5",
+    f"SELECT vec_id, view, y - top AS y, x - lft AS x, value FROM (SELECT vec_id, 0::BIGINT AS view, y, x, value FROM {_FLAT} UNION ALL SELECT vec_id, 1::BIGINT, 7 - y, 7 - x, value FROM {_FLAT}) JOIN (SELECT vec_id, {_PLACE} // 3 AS top, {_PLACE} % 3 AS lft FROM embeddings) USING (vec_id) WHERE y BETWEEN top AND top + 5 AND x BETWEEN lft AND lft + 5",
 )
 def views_together(spark, sf_dir):
     """Both views of a row are cut at the same drawn place."""
@@ -51,7 +51,7 @@ def center_crop(spark, sf_dir):
 
 # A half-sized picture by the triangle kernel: a new place takes of the four around it an eighth, three eighths, and so on.
 _HALF = "(VALUES (0, 0, 3/7.0), (0, 1, 3/7.0), (0, 2, 1/7.0), (1, 1, 0.125), (1, 2, 0.375), (1, 3, 0.375), (1, 4, 0.125), (2, 3, 0.125), (2, 4, 0.375), (2, 5, 0.375), (2, 6, 0.125), (3, 5, 1/7.0), (3, 6, 3/7.0), (3, 7, 3/7.0)) AS k(o, i, k)"
-_HALVED = f"(SELECT vec_id, o AS y, x, floor(sum(k::DOUBLE * value) + 0.5)::BIGINT AS value FROM (SELECT vec_id, y, o AS x, floor(sum(k::DOUBLE * value) + 0.5) AS value FROM {_FLAT} JOIN {_HALF} ON i = x GROUP BY 1, 2, 3) JOIN {_HALF} ON i = y GROUP BY 1, 2, 3)"
+_HALVED = f"(SELECT vec_id, o::BIGINT AS y, x::BIGINT AS x, floor(sum(k::DOUBLE * value) + 0.5)::BIGINT AS value FROM (SELECT vec_id, y, o AS x, floor(sum(k::DOUBLE * value) + 0.5) AS value FROM {_FLAT} JOIN {_HALF} ON i = x GROUP BY 1, 2, 3) JOIN {_HALF} ON i = y GROUP BY 1, 2, 3)"
 
 
 @query("V03_resize_half", f"SELECT vec_id, y, x, value FROM {_HALVED}")
@@ -67,12 +67,12 @@ def flip(spark, sf_dir):
 _GRAY = "floor(0.2989::DOUBLE * r + 0.587::DOUBLE * g + 0.114::DOUBLE * b + 1e-9)::BIGINT"
 
 
-@query("V06_gray", f"SELECT vec_id, y, x, unnest([0, 1, 2]) AS channel, {_GRAY} AS value FROM {_COLOUR}")
+@query("V06_gray", f"SELECT vec_id, y, x, unnest([0, 1, 2])::BIGINT AS channel, {_GRAY} AS value FROM {_COLOUR}")
 def gray(spark, sf_dir):
     return _run(spark, sf_dir, I.gray, colour=True)
 
 
-@query("V08_random_gray", f"SELECT vec_id, y, x, unnest([0, 1, 2]) AS channel, unnest(CASE WHEN {_unit(0)} < 0.25 THEN [{_GRAY}, {_GRAY}, {_GRAY}] ELSE [r, g, b] END) AS value FROM {_COLOUR}")
+@query("V08_random_gray", f"SELECT vec_id, y, x, unnest([0, 1, 2])::BIGINT AS channel, unnest(CASE WHEN {_unit(0)} < 0.25 THEN [{_GRAY}, {_GRAY}, {_GRAY}] ELSE [r, g, b] END) AS value FROM {_COLOUR}")
 def random_gray(spark, sf_dir):
     return _run(spark, sf_dir, I.sometimes(I.gray, 0.25), colour=True)
 
@@ -112,6 +112,6 @@ def patch_sizes(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", tall.alias("crop_height"), a.alias("pad_height"), b.alias("pad_width"))
 
 
-@query("V16_list_resize", f"SELECT vec_id, 0 AS view, y, x, value FROM {_HALVED} UNION ALL SELECT vec_id, 1, 3 - y, 3 - x, value FROM {_HALVED}")
+@query("V16_list_resize", f"SELECT vec_id, 0::BIGINT AS view, y, x, value FROM {_HALVED} UNION ALL SELECT vec_id, 1::BIGINT, 3 - y, 3 - x, value FROM {_HALVED}")
 def list_resize(spark, sf_dir):
     return _run(spark, sf_dir, I.resize(4, 4), views=2)
