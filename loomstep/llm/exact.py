@@ -17,16 +17,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, text_of, without_space, written
+from .common import Scratch, free_names, text_of, without_space, written
 
-FIRST, WIDER, WIDEST = 64, 8, 1 << 20  # bytes of the first block; factor of the next one; the widest
+FIRST, WIDER, WIDEST = 64, 8, 1 << 30  # bytes of the first block; factor of the next one; as many as a text may have
 
 
-def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", first: int = FIRST, wider: int = WIDER) -> DataFrame:
+def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", first: int = FIRST, wider: int = WIDER, scratch: Scratch | None = None) -> DataFrame:
     """(id, row, code_points, sha256, keep_id, group_size, kept): one row for each row of ``df``.
 
-    ``row`` numbers the rows of this result; sha256 is that of the normalised text, as information.
+    ``row`` numbers the rows of this result; sha256 is that of the normalised text, as information. The result reads the
+    rounds' tables; whoever gives a ``scratch`` may delete them when it has been read.
     """
+    scratch = scratch or Scratch()
     text = text_of(text_col)
     norm = without_space(text).cast("binary")
     docs = df.select(F.col(id_col).alias("id"), F.length(text).cast("long").alias("code_points"), F.sha2(norm, 256).alias("sha256"), F.lit(0).cast("long").alias("g"), norm.alias("rest"))
@@ -37,7 +39,7 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if start:
             cut = cut.withColumn("row", F.monotonically_increasing_id())
         groups = cut.groupBy("g", "block").agg(F.count("*").alias("n")).where("n > 1")
-        groups = written(groups.withColumn("new_g", F.monotonically_increasing_id()), "radix-groups")
+        groups = scratch.written(groups.withColumn("new_g", F.monotonically_increasing_id()), "radix-groups")
         ended = F.octet_length("block") < width
         # Merged at every size: Spark can split a large group's rows, and a small table does not change what is moved.
         split = cut.join(groups.hint("merge"), ["g", "block"], "left").select(
@@ -46,7 +48,8 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.when(F.col("n").isNull(), 0).when(ended, 1).otherwise(2).alias("state"),
             F.when(F.col("n").isNotNull() & ~ended, F.substring(F.col("rest"), width + 1, 2147483647)).alias("rest"),
         )
-        split = written(split, "radix-round")
+        split = scratch.written(split, "radix-round")
+        scratch.drop(groups)
         done.append(split.where("state < 2").select(*narrow, "state", F.struct(F.lit(len(done)).alias("round"), "g").alias("g")))
         docs = split.where("state = 2").select(*narrow, "g", "rest")
         if docs.isEmpty():
@@ -58,7 +61,7 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         alone, copies = alone.unionByName(more.where("state = 0")), copies.unionByName(more.where("state = 1"))
     # Code points first, then the id with null last, then the row: the least such tuple stays.
     order = F.struct((-F.col("code_points")).alias("c"), F.col("id").isNull().alias("u"), F.col("id").alias("id"), F.col("row").alias("row"))
-    best = written(copies.groupBy("g").agg(F.count("*").alias("group_size"), F.min(order).alias("best")), "radix-best")
+    best = scratch.written(copies.groupBy("g").agg(F.count("*").alias("group_size"), F.min(order).alias("best")), "radix-best")
     of_copies = copies.join(best, "g").select(*narrow, F.col("best.id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"))
     return alone.select(*narrow, F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")).unionByName(of_copies)
 
@@ -66,7 +69,9 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_first_of_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``df`` that stay. Rows of a repeated id are told apart by code points and normalised text; those alike in
     all three are copies of each other, and one of them stays at most."""
-    found = written(exact_groups(df, id_col, text_col, **how).select("id", "code_points", "sha256", "kept"), "radix-kept")
+    rounds = Scratch()
+    found = written(exact_groups(df, id_col, text_col, scratch=rounds, **how).select("id", "code_points", "sha256", "kept"), "radix-kept")
+    rounds.keep()
     key, points, digest, n = free_names(df, "__id", "__code_points", "__sha256", "__n")
     if found.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
         gone = found.where("not kept").select(F.col("id").alias(key))
