@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .batches import Words, slices, starts_of, words
 from .training import labelled_sample, platt, probability
 
-PER_CLASS, SLICE_BYTES, FOLDS, ROWS = 2500, 2 << 20, 3, 512
+PER_CLASS, SLICE_BYTES, FOLDS, ROWS = 2500, 1 << 20, 3, 512
 SMOOTH, LEAST_DOCS = 1.0, 4
 COST, EPOCHS = 0.05, 12
 SHAPE_BITS, SHAPES = 6, 62
