@@ -9,6 +9,8 @@ bitmap of 2,048 bits (its differing bits are never more than the sets' differing
 the set has members, and then exactly. That goes by rounds: a member of a list is compared with a few partners at first, and, in
 the lists where that left out any in unlike components, with many more, until none is left out. Groups of similar documents grow
 together in the first rounds, so that not all their pairs are ever formed, and no pair that could link two components is lost.
+A list of more than ``LONG`` members is dealt into parts, and every two parts are a list of their own, so that no task holds more
+than two parts, and every two members still meet. Within a list sketches are compared block by block.
 
 Defined results: words are those of the fingerprints (ASCII lower case, ASCII white space); a text of fewer words than a shingle
 is one shingle; texts without a word, and null ones, are copies of each other. Shingles are equal if their 64-bit hashes are, and
@@ -33,7 +35,8 @@ from .simhash import SEED, components
 
 SHINGLE, SIMILARITY = 5, 0.8
 SAMPLE, MOST_COMMON = 4096, 100_000  # documents looked at for the order, and shingles it may put last
-SKETCH, EPSILON, BLOCK = 2048, 1e-9, 256
+SKETCH, EPSILON, BLOCK = 2048, 1e-9, 128
+LONG, PAIRS = 16384, 1 << 17  # members of a list that are held at once, and of its pairs those sent on at once
 FIRST, WIDER = 2, 64  # partners that a list's member is compared with in the first round; how many times more in each next one
 SLICE_BYTES, U = 1 << 20, np.uint64
 
@@ -192,11 +195,14 @@ def _unlike(similarity: float, most: int, salt: int):
     def within(start: int, n: int, ids: np.ndarray, roots: np.ndarray, sizes: np.ndarray, bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
         """(places, places, whether some were left) of a list of more than two."""
         if n <= most + 1:
-            i, j = np.triu_indices(n, 1)
-            unlike = roots[start + i] != roots[start + j]
-            i, j = start + i[unlike], start + j[unlike]
-            ok = able(i, j, sizes, bits)
-            yield i[ok], j[ok], False
+            for first in range(0, n, BLOCK):
+                for to in range(first, n, BLOCK):
+                    i, j = start + first, start + to
+                    p, q = np.nonzero(roots[i : min(i + BLOCK, start + n)][:, None] != roots[j : min(j + BLOCK, start + n)])
+                    p, q = p + i, q + j
+                    p, q = (p[p < q], q[p < q]) if to == first else (p, q)
+                    ok = able(p, q, sizes, bits)
+                    yield p[ok], q[ok], False
             return
         order = start + np.argsort(_mix(ids[start : start + n].view(U) ^ U(salt)))
         for first in range(0, n, BLOCK):
@@ -216,6 +222,10 @@ def _unlike(similarity: float, most: int, salt: int):
                 room[free] -= np.minimum(count, room[free])
                 yield rows[free[i[take]]], columns[j[take]], not take.all()
 
+    def pairs(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1) if len(x) else np.empty((2, 0), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1]), pa.array(np.zeros(both.shape[1], bool))], ["a", "b", "left"])
+
     def lists(token: np.ndarray, ids: np.ndarray, roots: np.ndarray, sizes: np.ndarray, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
         edge = np.flatnonzero(np.diff(token)) + 1
         start = np.r_[0, edge]
@@ -223,37 +233,49 @@ def _unlike(similarity: float, most: int, salt: int):
         two = start[n == 2]
         two = two[roots[two] != roots[two + 1]]
         two = two[able(two, two + 1, sizes, bits)]
-        p, q, left = [two], [two + 1], []
+        p, q, held, left = [two], [two + 1], len(two), []
         for at, size in zip(start[n > 2].tolist(), n[n > 2].tolist()):
             rest = False
             for i, j, more in within(at, size, ids, roots, sizes, bits):
                 p.append(i)
                 q.append(j)
-                rest = rest or more
+                held, rest = held + len(i), rest or more
+                if held > PAIRS:
+                    yield pairs(ids[np.concatenate(p)], ids[np.concatenate(q)])
+                    p, q, held = [two[:0]], [two[:0]], 0
             if rest:
                 left.append(token[at])
-        x, y = ids[np.concatenate(p)], ids[np.concatenate(q)]
-        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1) if len(x) else np.empty((2, 0), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(np.zeros(pairs.shape[1], bool))], ["a", "b", "left"])
+        yield pairs(ids[np.concatenate(p)], ids[np.concatenate(q)])
         if left:
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(np.zeros(len(left), np.int64)), pa.array(np.ones(len(left), bool))], ["a", "b", "left"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held = []  # batches, or the end of one, since the last list began
         for batch in batches:
             now = (*(batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)), _bits(batch.column(4)))
-            held = now if held is None else tuple(np.concatenate(x) for x in zip(held, now))
-            if len(held[0]):
-                cut = int(np.searchsorted(held[0], held[0][-1], "left"))
-                if cut:
-                    yield from lists(*(x[:cut] for x in held))
-                    held = tuple(x[cut:] for x in held)
-        if held is not None and len(held[0]):
-            yield from lists(*held)
+            if not len(now[0]):
+                continue
+            held.append(now)
+            if held[0][0][0] != now[0][-1]:  # else one list goes on, and is put together when it ends
+                own = tuple(np.concatenate(x) for x in zip(*held))
+                cut = int(np.searchsorted(own[0], own[0][-1], "left"))
+                yield from lists(*(x[:cut] for x in own))
+                held = [tuple(x[cut:].copy() for x in own)]
+        if held:
+            yield from lists(*(np.concatenate(x) for x in zip(*held)))
 
     return run
 
 
+def _dealt(lists: DataFrame) -> DataFrame:
+    """(token, row, least) of lists (token, row, least, n). Those of more than LONG members are dealt into parts by their rows,
+    and each member stands in the lists of its part with every part."""
+    parts = F.ceil(F.col("n") / LONG)
+    mine = F.pmod("row", parts)
+    each = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda other: F.xxhash64(F.col("token"), F.least(mine, other), F.greatest(mine, other)))
+    return lists.select(F.explode(F.when(parts == 1, F.array("token")).otherwise(each)).alias("token"), "row", "least")
+
+
 def one_of_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``df`` without those of which a near copy, or a near copy of one, stays: one row of each component."""
     scratch = Scratch()
@@ -262,8 +284,8 @@ def one_of_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     index = scratch.written(_index(rows, shingle, similarity), "near-index")
     nodes = scratch.written(index.groupBy("row").agg(F.first("id").alias("id"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"), F.count("*").alias("n")), "near-nodes")
     posting = index.select(F.explode("tokens").alias("token"), "row")
-    lists = posting.groupBy("token").agg(F.min("row").alias("least"), F.max("row").alias("most")).where("least < most")
-    shared = scratch.written(posting.join(lists.hint("merge"), "token").select("token", "row", "least").distinct(), "near-lists")
+    lists = posting.groupBy("token").agg(F.min("row").alias("least"), F.max("row").alias("most"), F.count("*").alias("n")).where("least < most")
+    shared = scratch.written(_dealt(posting.join(lists.hint("merge"), "token").select("token", "row", "least", "n").distinct()), "near-lists")
     scratch.drop(index)
     how = (rows, shingle, similarity, scratch)
     stars = shared.where("row <> least").select(F.col("least").alias("a"), F.col("row").alias("b")).distinct()

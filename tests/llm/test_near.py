@@ -1,7 +1,10 @@
 import itertools
 import random
+import tracemalloc
 
 import corpus_pipeline
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from loomstep.llm import near
@@ -100,3 +103,37 @@ def test_rounds_that_widen(spark, monkeypatch):
     want = brute_kept(rows)
     assert 1 < len(want) < 40
     assert kept(near.one_of_near_copies(docs)) == want
+
+
+def test_long_lists_are_dealt(spark, monkeypatch):
+    """Every two members of a list still meet, and no list has more members than two parts."""
+    monkeypatch.setattr(near, "LONG", 3)
+    rows = copies(13, 8)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert kept(near.one_of_near_copies(docs)) == brute_kept(rows)
+    dealt = near._dealt(spark.createDataFrame([(7, r, 0, 40) for r in range(40)] + [(8, 1, 1, 3), (8, 2, 1, 3)], "token long, row long, least long, n long")).collect()
+    lists = {}
+    for r in dealt:
+        lists.setdefault(r["token"], set()).add(r["row"])
+    assert lists.pop(8) == {1, 2}
+    assert {p for members in lists.values() for p in itertools.combinations(sorted(members), 2)} == set(itertools.combinations(range(40), 2))
+    assert max(map(len, lists.values())) <= 6
+
+
+def test_memory_of_a_list(monkeypatch):
+    """2,000 unlike members in a round that compares each with all: about two million pairs, a few of them similar."""
+    rng = np.random.default_rng(3)
+    n, bits = 2000, rng.integers(0, 256, (2000, near.SKETCH // 8), np.uint8)
+    bits[n // 2 : n // 2 + 20] = bits[:20]
+    columns = [pa.array(np.full(n, 5)), pa.array(np.arange(n)), pa.array(np.arange(n)), pa.array(np.full(n, 300)), pa.array([b.tobytes() for b in bits], pa.binary())]
+    batch = pa.RecordBatch.from_arrays(columns, ["token", "row", "root", "size", "sketch"])
+    want = {(i, n // 2 + i) for i in range(20)}
+    for pairs in (near.PAIRS, 3) if hasattr(near, "PAIRS") else (0,):
+        monkeypatch.setattr(near, "PAIRS", pairs, raising=False)
+        tracemalloc.start()
+        got = [row for b in near._unlike(near.SIMILARITY, 8192, 8192)(iter([batch.slice(0, 700), batch.slice(700)])) for row in b.to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(got) == 20 and {(r["a"], r["b"]) for r in got} == want and not any(r["left"] for r in got)
+        print("peak MB", peak / 1e6)
+        assert peak < 100e6
