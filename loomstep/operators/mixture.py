@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from loomstep.operators.windows import place_in_order
 
 FLOOR = 1e-8
+U, MASK = np.uint64, (1 << 32) - 1
 
 
 def first_of_each(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -120,40 +123,99 @@ CATALOGUE = 1_000_000  # episodes that every worker may hold for exact draws
 def catalogue_of(datasets: DataFrame, episodes: DataFrame) -> tuple[dict[int, list[float]], dict[int, list[int]], list[float]]:
     """(shares, lengths, weights) for :func:`exact_draw` from tables as :func:`hierarchical_draw` takes them: datasets by name
     and episodes by id are numbered from 0. Every worker holds them, so their number is checked."""
-    rows = episodes.where("share > 0").limit(CATALOGUE + 1).collect()
+    rows = episodes.where("share > 0").select("dataset", "episode", "share", "steps").limit(CATALOGUE + 1).toArrow().to_pandas()
     if len(rows) > CATALOGUE:
         raise ValueError(f"more than {CATALOGUE} episodes: use hierarchical_draw")
-    of: dict = {}
-    for e in rows:
-        of.setdefault(e["dataset"], []).append((e["episode"], e["share"], e["steps"]))
+    of = dict(list(rows.sort_values(["episode", "share", "steps"]).groupby("dataset", sort=False)))
     names = sorted((r["dataset"], r["share"]) for r in datasets.collect() if r["dataset"] in of)
     shares, lengths = {}, {}
     for k, (name, _) in enumerate(names):
-        own = sorted(of[name])
-        total = sum(x[1] for x in own)
-        shares[k], lengths[k] = [x[1] / total for x in own], [x[2] for x in own]
+        own = of[name]["share"].tolist()
+        total = sum(own)
+        shares[k], lengths[k] = [x / total for x in own], of[name]["steps"].tolist()
     total = sum(w for _, w in names)
     return shares, lengths, [w / total for _, w in names]
 
 
+def _cumulated(shares: Sequence[float]) -> np.ndarray:
+    """The sums that ``Generator.choice`` searches, refused where it refuses the shares."""
+    p = np.asarray(shares, float)
+    if not (p >= 0).all() or abs(math.fsum(p) - 1) > math.sqrt(np.finfo(float).eps):
+        raise ValueError("shares must be at least 0 and sum to 1")
+    upto = p.cumsum()
+    return upto / upto[-1]
+
+
+def _three_numbers(words: np.ndarray) -> list[np.ndarray]:
+    """The first three 64-bit numbers of numpy's PCG64 for each seed of four 32-bit words (least first, held as 64-bit numbers):
+    what SeedSequence and PCG64 do, for all rows together."""
+    const = 0x43B0D7E5
+
+    def hashed(x: np.ndarray, factor: int) -> np.ndarray:
+        nonlocal const
+        x = x ^ U(const)
+        const = const * factor & MASK
+        x = x * U(const) & U(MASK)
+        return x ^ (x >> U(16))
+
+    pool = [hashed(words[:, k], 0x931E8875) for k in range(4)]
+    for source in range(4):
+        for to in range(4):
+            if source != to:
+                x = (pool[to] * U(0xCA01F9DD) - hashed(pool[source], 0x931E8875) * U(0x4973F715)) & U(MASK)
+                pool[to] = x ^ (x >> U(16))
+    const = 0x8B51F9DD
+    half = [hashed(pool[k % 4], 0x58F38DED) for k in range(8)]
+    begin_high, begin_low, step_high, step_low = (half[2 * k] | (half[2 * k + 1] << U(32)) for k in range(4))
+    step_high, step_low = (step_high << U(1)) | (step_low >> U(63)), (step_low << U(1)) | U(1)
+
+    def plus(high: np.ndarray, low: np.ndarray, more_high: np.ndarray, more_low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        total = low + more_low
+        return high + more_high + (total < low), total
+
+    def advanced(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        times_high, times_low = U(0x2360ED051FC65DA4), U(0x4385DF649FCCF645)
+        a, b, c, d = low >> U(32), low & U(MASK), times_low >> U(32), times_low & U(MASK)
+        middle = (b * d >> U(32)) + (a * d & U(MASK)) + (b * c & U(MASK))
+        carried = a * c + (a * d >> U(32)) + (b * c >> U(32)) + (middle >> U(32))
+        return plus(carried + high * times_low + low * times_high, low * times_low, step_high, step_low)
+
+    high, low = advanced(*plus(step_high, step_low, begin_high, begin_low))
+    out = []
+    for _ in range(3):
+        high, low = advanced(high, low)
+        x, turn = high ^ low, high >> U(58)
+        out.append((x >> turn) | (x << ((U(64) - turn) & U(63))))
+    return out
+
+
 def exact_draw(indices: DataFrame, shares: dict[int, list[float]], lengths: dict[int, list[int]], weights: list[float], seed: int, epoch: int = 0) -> DataFrame:
     """Dataset, episode and step of each index by numpy's generator, seeded with the low 128 bits of a sha-256 of
-    (epoch, index, seed): the draws that a per-sample loader would make, in Arrow batches."""
+    (epoch, index, seed): the draws that a per-sample loader would make, in Arrow batches. ``Generator.choice`` would add up all
+    shares again for every draw; they are added up once, and a draw is a search in the sums, as there. The generators of a batch
+    are run together. An episode's steps are less than 2^32."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import hashlib
-
-        import numpy as np
+    known = indices.sparkSession.sparkContext.broadcast((_cumulated(weights), {d: _cumulated(of) for d, of in shares.items()}, {d: np.array(of, np.int64) for d, of in lengths.items()}))
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        upto, within, steps = known.value
         for b in batches:
-            rows = []
-            for i in b["index"]:
-                low = int.from_bytes(hashlib.sha256(repr((epoch, int(i), seed)).encode()).digest()) & ((1 << 128) - 1)
-                rng = np.random.default_rng(low)
-                d = int(rng.choice(len(weights), p=weights))
-                e = int(rng.choice(len(lengths[d]), p=shares[d]))
-                rows.append((int(i), d, e, int(rng.choice(lengths[d][e]))))
-            yield pd.DataFrame(rows, columns=["index", "dataset", "episode", "step"])
+            index = b["index"].to_numpy(np.int64)
+            low = b"".join([hashlib.sha256(repr((epoch, i, seed)).encode()).digest()[16:] for i in index.tolist()])
+            first, second, third = _three_numbers(np.frombuffer(low, ">u4").reshape(-1, 4)[:, ::-1].astype(U))
+            d = upto.searchsorted((first >> U(11)) / float(1 << 53), "right")
+            v, e, step = (second >> U(11)) / float(1 << 53), np.zeros(len(b), np.int64), np.zeros(len(b), np.int64)
+            for k in np.unique(d).tolist():
+                mine = d == k
+                e[mine] = within[k].searchsorted(v[mine], "right")
+                n = steps[k][e[mine]].astype(U)
+                wide = (third[mine] & U(MASK)) * n  # a whole number below n is the product's upper half
+                step[mine] = wide >> U(32)
+                for at in np.flatnonzero(mine)[(wide & U(MASK)) < n]:  # where numpy may draw again
+                    rng = np.random.Generator(np.random.PCG64(int.from_bytes(low[16 * at : 16 * at + 16])))
+                    rng.random(2)
+                    step[at] = rng.integers(0, steps[k][e[at]])
+            yield pd.DataFrame({"index": index, "dataset": d.astype(np.int32), "episode": e.astype(np.int32), "step": step})
 
     return indices.select(F.col("index").cast("long")).mapInPandas(run, "index long, dataset int, episode int, step long")
 

@@ -158,6 +158,28 @@ def test_exact_draw_is_numpys(spark):
         assert (r["dataset"], r["episode"], r["step"]) == (d, e, rng.choice([[10], [5, 7]][d][e]))
 
 
+def test_exact_draw_of_many_episodes(spark):
+    """As numpy's generators, one by one, and without adding up all shares for every draw: 20,000 draws among 200,000 episodes."""
+    import hashlib
+    import time
+
+    rng = np.random.default_rng(1)
+    share, steps = rng.random(200_000), rng.integers(1, 9, 200_000)
+    steps[:1000] = 3_000_000_000  # numpy draws again for such a number three times in ten
+    share[:1000] *= 100
+    share /= share.sum()
+    began = time.time()
+    rows = M.exact_draw(spark.range(20_000).withColumnRenamed("id", "index"), {0: [1.0], 1: share.tolist()}, {0: [1], 1: steps.tolist()}, [0.1, 0.9], seed=7, epoch=3).collect()
+    assert time.time() - began < 20
+    weights, upto = np.cumsum([0.1, 0.9]), np.cumsum(share)
+    weights, within = weights / weights[-1], [np.ones(1), upto / upto[-1]]
+    for r in rows:
+        rng = np.random.default_rng(int(hashlib.sha256(repr((3, r["index"], 7)).encode()).hexdigest()[-32:], 16))
+        d = int(np.searchsorted(weights, rng.random(), "right"))
+        e = int(np.searchsorted(within[d], rng.random(), "right"))
+        assert (r["dataset"], r["episode"], r["step"]) == (d, e, rng.choice([1, steps[e]][d]))
+
+
 def test_linear_fit_of_flat_dimension(spark):
     scale, offset = V.linear_fit("limits", F.lit(3.0), F.lit(3.0), F.lit(3.0), F.lit(0.0))
     assert one(spark, scale) == 1.0 and one(spark, offset) == -3.0
