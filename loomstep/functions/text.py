@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,11 +64,14 @@ def prefixed(key: Column, kind: str) -> Column:
     return F.when(key.startswith(f"{kind}."), key).otherwise(F.concat(F.lit(f"{kind}."), key))
 
 
-def human_bytes(size: Column) -> Column:
+def human_bytes(size: Column, units: Sequence[str] = UNITS) -> Column:
+    """A whole number of bytes in the largest of the units that it reaches, rounded half to even from its exact value."""
     out = None
-    for power, unit in enumerate(UNITS):
-        text = F.format_string(f"%.2f {unit}", F.bround(size / float(1024**power), 2))
-        below = F.abs(size) < float(1024 ** (power + 1)) if power < len(UNITS) - 1 else F.lit(True)
+    for power, unit in enumerate(units):
+        value = size / float(1024**power)
+        whole = F.floor(value).cast("double")  # the rest alone has digits enough to tell a tie from a number beside it
+        text = F.format_string(f"%.2f {unit}", whole + F.bround(value - whole, 2))
+        below = F.abs(size) < float(1024 ** (power + 1)) if power < len(units) - 1 else F.lit(True)
         out = F.when(below, text) if out is None else out.when(below, text)
     return out
 

@@ -38,3 +38,13 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(registry.QUERIES) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_large_sizes(spark, tmp_path):
+    """Keys from the last GiB below 1,024 on: beyond them X19's SQL goes on in GiB."""
+    keys = [1, 2, 3, 90, 91, 92_681, 92_682, 100_000, 599_999, 8_999_999, 36_000_000]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    own = duckdb.connect()
+    own.execute(f"create view orders as select * from '{tmp_path}/orders.parquet/*.parquet'")
+    got = registry.QUERIES["X19_human_bytes"](spark, str(tmp_path)).toPandas()
+    assert rows_of(got) == rows_of(own.execute(registry.ORACLES["X19_human_bytes"]).df())
