@@ -49,6 +49,15 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(2 * counts > n).tobytes())
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The 64-bit fingerprint of hashes: a bit is 1 if more than half of them have it."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), BLOCK):
+        raw = hashes[at : at + BLOCK].astype(">u8").view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(raw, axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes())
+
+
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """(id, fp): one row for each row of ``df``; fp is the fingerprint as a signed long."""
     kind = df.schema[id_col].dataType
@@ -79,8 +88,24 @@ def _star(members: np.ndarray, bits: int) -> list[tuple[int, int]]:
     return out
 
 
-def _lists(bits: int, hot_list: int | None):
-    """Links within posting lists (key, fp), as stars. A list of more than ``hot_list`` members only passes them on."""
+def _tree(members: np.ndarray, bits: int) -> list[tuple[int, int]]:
+    """Pairs that span each linked group of distinct fingerprints, each pair itself linked."""
+    out, rest = [], np.sort(members)
+    while len(rest) > 1:
+        todo, rest = [rest[0]], rest[1:]
+        while todo and len(rest):
+            at = todo.pop()
+            near = np.bitwise_count(rest ^ at) <= bits
+            if near.any():
+                found = rest[near]
+                out += [(min(at, x), max(at, x)) for x in found]
+                todo.extend(found)
+                rest = rest[~near]
+    return out
+
+
+def _lists(bits: int, hot_list: int | None, links=_star):
+    """Links within posting lists (key, fp), as stars or trees. A list of more than ``hot_list`` members only passes them on."""
 
     def stars(keys: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         edge = np.flatnonzero(np.diff(keys)) + 1
@@ -90,7 +115,7 @@ def _lists(bits: int, hot_list: int | None):
         a, b = fps[two], fps[two + 1]
         ok = np.bitwise_count(a ^ b) <= bits
         roots, others = [np.minimum(a, b)[ok]], [np.maximum(a, b)[ok]]
-        more = [e for s, n in zip(starts[sizes > 2], sizes[sizes > 2]) for e in _star(fps[s : s + n], bits)]
+        more = [e for s, n in zip(starts[sizes > 2], sizes[sizes > 2]) for e in links(fps[s : s + n], bits)]
         if more:
             pairs = np.array(more, np.uint64)
             roots.append(pairs[:, 0])
@@ -164,20 +189,36 @@ def _finer(bits: int):
     return run
 
 
-def linked_fingerprints(fps: DataFrame, bits: int = BITS, hot_list: int = HOT_LIST, scratch: Scratch | None = None) -> DataFrame:
-    """Edges (a, b) that connect just what links of at most ``bits`` differing bits connect; ``fps`` has distinct fp."""
-    if not 0 < bits <= 4:
-        raise ValueError("bits must be from 1 to 4")
-    scratch = scratch or Scratch()
+def _posting(fps: DataFrame, shared: int) -> DataFrame:
+    """(key, fp): an entry for every choice of ``shared`` positional bytes. Two fingerprints meet in a list of such entries just
+    when their tally of equal positional bytes reaches ``shared``."""
     byte = [F.shiftrightunsigned(F.col("fp"), 8 * p).bitwiseAND(F.lit(255)) for p in range(8)]
     keys = []
-    for n, chosen in enumerate(combinations(range(8), 8 - bits)):
+    for n, chosen in enumerate(combinations(range(8), shared)):
         key = F.lit(n).cast("long")
         for p in chosen:
             key = F.shiftleft(key, 8).bitwiseOR(byte[p])
         keys.append(key)
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    posting = fps.repartition(n, "fp").select(F.explode(F.array(*keys)).alias("key"), "fp")  # a few files of fingerprints make many entries
+    return fps.repartition(n, "fp").select(F.explode(F.array(*keys)).alias("key"), "fp")  # a few files of fingerprints make many entries
+
+
+def near_fingerprints(fps: DataFrame, bits: int, shared: int, hot_list: int = HOT_LIST, scratch: Scratch | None = None) -> DataFrame:
+    """Pairs (a, b) of at most ``bits`` differing bits and at least ``shared`` equal positional bytes, as many as span each linked
+    group of each list; ``fps`` has distinct fp. Lists of more than ``hot_list`` members give none."""
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lists = _posting(fps, shared).repartition(n, "key").sortWithinPartitions("key")
+    found = lists.mapInArrow(_lists(bits, hot_list, _tree), "a long, b long, key long, hot boolean").where("not hot").select("a", "b")
+    return (scratch or Scratch()).written(found.distinct(), "simhash-pairs")
+
+
+def linked_fingerprints(fps: DataFrame, bits: int = BITS, hot_list: int = HOT_LIST, scratch: Scratch | None = None) -> DataFrame:
+    """Edges (a, b) that connect just what links of at most ``bits`` differing bits connect; ``fps`` has distinct fp."""
+    if not 0 < bits <= 4:
+        raise ValueError("bits must be from 1 to 4")
+    scratch = scratch or Scratch()
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    posting = _posting(fps, 8 - bits)
 
     def links(entries: DataFrame, most: int | None) -> DataFrame:
         lists = entries.repartition(n, "key").sortWithinPartitions("key")

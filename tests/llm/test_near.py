@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from loomstep.llm import near
+from loomstep.llm import near, simhash
 
 
 def brute_kept(rows):
@@ -137,3 +137,43 @@ def test_memory_of_a_list(monkeypatch):
         assert len(got) == 20 and {(r["a"], r["b"]) for r in got} == want and not any(r["left"] for r in got)
         print("peak MB", peak / 1e6)
         assert peak < 100e6
+
+
+def test_fingerprints_find_pairs_first(spark, sf_dir, monkeypatch):
+    """The stage gets its pairs by the index on byte positions: most near copies are in one component before prefixes are read."""
+    rows = copies(17, 15)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    before, apart = [], near._apart
+    monkeypatch.setattr(near, "_apart", lambda pairs, edges: before.append(near._rooted(edges).collect()) or apart(pairs, edges))
+    want = brute_kept(rows)
+    assert kept(corpus_pipeline.near_dedup(spark, docs, sf_dir)) == want
+    ((*found,),) = before
+    joined = len(found) - len({r["root"] for r in found})
+    assert joined >= (len(rows) - len(want)) / 2 > 0
+
+
+def test_near_fingerprints_by_brute_force(spark):
+    rng = random.Random(6)
+    fps = {rng.getrandbits(64) for _ in range(40)}
+    for seed in list(fps):
+        for _ in range(8):
+            other = seed
+            for b in rng.sample(range(64), rng.randint(1, 14)):
+                other ^= 1 << b
+            fps.add(other)
+    links = {(a, b) for a, b in itertools.combinations(sorted(fps), 2) if (a ^ b).bit_count() <= 10 and sum((a ^ b) >> 8 * p & 255 == 0 for p in range(8)) >= 2}
+    df = spark.createDataFrame([(f - (f >> 63 << 64),) for f in fps], "fp long")
+    got = {tuple(sorted((r["a"] % 2**64, r["b"] % 2**64))) for r in simhash.near_fingerprints(df, 10, 2).collect()}
+    assert got <= links
+
+    def groups(pairs):
+        of = {f: {f} for f in fps}
+        for a, b in pairs:
+            of[a] |= of[b]
+            for f in of[a]:
+                of[f] = of[a]
+        return {frozenset(g) for g in of.values()}
+
+    assert groups(got) == groups(links) and len(groups(links)) < len(fps)
+    assert simhash.near_fingerprints(df, 10, 2, hot_list=1).count() == 0
+    assert simhash.majority(np.array([3, 1, 5], np.uint64)) == 1
