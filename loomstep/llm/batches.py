@@ -1,14 +1,47 @@
-"""Arrow batches of texts: bounded slices, words as indices into each slice's own distinct words."""
+"""Arrow batches of texts: bounded slices, words as indices into each slice's own distinct words, memory given back between tasks."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+_caches: list[dict] = []
+
+
+def cache() -> dict:
+    """A dictionary that outlasts a task in its worker process, until a task of ``tidy`` comes that does not ask for it."""
+    _caches.append({})
+    return _caches[-1]
+
+
+def give_back(cached: bool) -> None:
+    """What was freed goes back to the system, unless ``cached`` the caches as well. A worker's memory is its executor's, and the
+    worker goes on to other stages."""
+    if not cached:
+        for c in _caches:
+            c.clear()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc only
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], cached: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, in a worker that holds nothing of earlier tasks, and keeps nothing but caches it asks for."""
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back(cached)
+        try:
+            yield from run(batches)
+        finally:
+            give_back(cached)
+
+    return own
+
 
 def slices(batch: pa.RecordBatch, text: int, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in order, in pieces of at most ``most_bytes`` of text or of one row."""

@@ -98,6 +98,16 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+BATCH_BYTES = 2 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Python gets Arrow batches of at most BATCH_BYTES and a row. Spark's own bounds are 10,000 rows and 64 MiB, held by the JVM
+    and by Python for each running task. Plans read the setting when they run, so it stays; a smaller one is left."""
+    if not 0 < spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch() <= BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def text_of(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

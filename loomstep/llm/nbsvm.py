@@ -22,7 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import Words, slices, starts_of, words
+from .batches import Words, slices, starts_of, tidy, words
+from .common import bounded_batches
 from .training import labelled_sample, platt, probability
 
 PER_CLASS, SLICE_BYTES, FOLDS, ROWS = 2500, 1 << 20, 3, 512
@@ -201,6 +202,7 @@ def accepted(df: DataFrame, model: Model, least: float, id_col: str = "doc_id",
     """The rows of ``df`` whose score is at least ``least``, in its columns and without an exchange: the filter runs where
     the rows are."""
     known, at, schema = df.sparkSession.sparkContext.broadcast(model), df.columns.index(text_col), df.schema
+    bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = known.value.table()
@@ -208,4 +210,4 @@ def accepted(df: DataFrame, model: Model, least: float, id_col: str = "doc_id",
             for part in slices(batch, at, SLICE_BYTES):
                 yield part.filter(pa.array(known.value.scores(part.column(at), table) >= least))
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)

@@ -34,8 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import slices, starts_of, words
-from .common import Scratch, free_names, text_of
+from .batches import slices, starts_of, tidy, words
+from .common import Scratch, bounded_batches, free_names, text_of
 from .simhash import SEED, components, majority, near_fingerprints
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -99,7 +99,7 @@ def _common(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
                 for own in shingle_sets(part.column(0), shingle):
                     yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], ["token"])
 
-    some = rows.where(F.pmod("row", F.lit(every)) == 0).select("text").mapInArrow(run, "token long")
+    some = rows.where(F.pmod("row", F.lit(every)) == 0).select("text").mapInArrow(tidy(run), "token long")
     found = some.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "token").limit(MOST_COMMON).toPandas()
     token, n = found["token"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
     order = np.argsort(token)
@@ -128,7 +128,7 @@ def _index(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
                     prefixes.append(own[np.lexsort((own, rank))][: n - ceil(similarity * n - EPSILON) + 1].view(np.int64))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(small, pa.binary()), pa.array(wide, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))], ["row", "id", "size", "fp", "sketch", "wide", "tokens"])
 
-    return rows.select("row", "id", "text").mapInArrow(run, f"row long, id {rows.schema['id'].dataType.simpleString()}, size long, fp long, sketch binary, wide binary, tokens array<long>")
+    return rows.select("row", "id", "text").mapInArrow(tidy(run), f"row long, id {rows.schema['id'].dataType.simpleString()}, size long, fp long, sketch binary, wide binary, tokens array<long>")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
@@ -150,10 +150,10 @@ def _verified(pairs: DataFrame, rows: DataFrame, shingle: int, similarity: float
 
     asked = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
     texts = rows.select("row", "text").join(asked, "row", "left_semi").dropDuplicates(["row"])
-    own = scratch.written(texts.mapInArrow(sets, "row long, own binary"), "near-sets")
+    own = scratch.written(texts.mapInArrow(tidy(sets), "row long, own binary"), "near-sets")
     left, right = own.select(F.col("row").alias("a"), F.col("own").alias("x")), own.select(F.col("row").alias("b"), F.col("own").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    out = scratch.written(both.mapInArrow(check, "a long, b long"), "near-links")
+    out = scratch.written(both.mapInArrow(tidy(check), "a long, b long"), "near-links")
     scratch.drop(own)
     return out
 
@@ -174,7 +174,7 @@ def _able(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok))
 
     side = lambda name, size, sketch: nodes.select(F.col("row").alias(name), F.col("size").alias(size), F.col("wide").alias(sketch))
-    return pairs.join(side("a", "p", "x"), "a").join(side("b", "q", "y"), "b").select("a", "b", "p", "x", "q", "y").mapInArrow(run, "a long, b long")
+    return pairs.join(side("a", "p", "x"), "a").join(side("b", "q", "y"), "b").select("a", "b", "p", "x", "q", "y").mapInArrow(tidy(run), "a long, b long")
 
 
 def _bits(column: pa.Array) -> np.ndarray:
@@ -311,6 +311,7 @@ def _dealt(lists: DataFrame) -> DataFrame:
 
 def one_of_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``df`` without those of which a near copy, or a near copy of one, stays: one row of each component."""
+    bounded_batches(df.sparkSession)
     scratch = Scratch()
     row = F.xxhash64(F.col(id_col), text_of(text_col))
     rows = df.select(row.alias("row"), F.col(id_col).alias("id"), text_of(text_col).alias("text"))
@@ -333,7 +334,7 @@ def one_of_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         of = lists.join(roots.withColumnRenamed("node", "row"), "row", "left").select("token", "row", F.coalesce("root", "row").alias("root"))
         mixed = of.groupBy("token").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p <> q").select("token")
         left = of.join(mixed, "token", "left_semi").join(nodes.select("row", "size", "sketch"), "row").select("token", "row", "root", "size", "sketch")
-        found = left.repartition(n, "token").sortWithinPartitions("token").mapInArrow(_unlike(similarity, most, most), "a long, b long, left boolean")
+        found = left.repartition(n, "token").sortWithinPartitions("token").mapInArrow(tidy(_unlike(similarity, most, most)), "a long, b long, left boolean")
         found = scratch.written(found.distinct(), "near-unlike")
         pairs = scratch.written(_able(found.where("not left").select("a", "b").join(tested, ["a", "b"], "left_anti"), nodes, similarity), "near-pairs")
         rest = found.where("left").select(F.col("a").alias("token"))

@@ -16,6 +16,7 @@ columns are ignored; an empty table gives an empty result; a text longer than a
 
 from __future__ import annotations
 
+import os
 from collections import deque
 from collections.abc import Iterator
 
@@ -25,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import slices, starts_of
-from .common import text_of
+from .batches import slices, starts_of, tidy
+from .common import bounded_batches, text_of
 from .tokens import END, tokenizer
 
 WINDOW, SENTENCE, HARD = 4096, 8, 512
@@ -109,8 +110,10 @@ class _Packer:
 def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, sentence: float = SENTENCE, hard: float = HARD) -> DataFrame:
     """(id, start, length, doc_tokens, sequence_id, offset, ids): one row for each piece, ids as little-endian uint32."""
     kind = df.schema[id_col].dataType.simpleString()
+    bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core, and each thread keeps memory of its own
         own = tokenizer(tokenizer_path)
         is_end = np.zeros(len(own.ends), bool)
         is_end[[i for x in SENTENCE_ENDS if (i := own.tokenizer.token_to_id(x)) is not None]] = True
@@ -130,4 +133,4 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
                 yield from out(packer.add(ids, docs, False))
         yield from out(packer.add(np.empty(0, np.uint32), [], True))
 
-    return df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(run, f"id {kind}, {SCHEMA}")
+    return df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(tidy(run, cached=True), f"id {kind}, {SCHEMA}")

@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import tidy
 from .common import Scratch, free_names, text_of, written
 
 SHINGLE, BITS, SEED, HOT_LIST = 4, 4, 42, 16384
@@ -208,7 +209,7 @@ def near_fingerprints(fps: DataFrame, bits: int, shared: int, hot_list: int = HO
     group of each list; ``fps`` has distinct fp. Lists of more than ``hot_list`` members give none."""
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lists = _posting(fps, shared).repartition(n, "key").sortWithinPartitions("key")
-    found = lists.mapInArrow(_lists(bits, hot_list, _tree), "a long, b long, key long, hot boolean").where("not hot").select("a", "b")
+    found = lists.mapInArrow(tidy(_lists(bits, hot_list, _tree)), "a long, b long, key long, hot boolean").where("not hot").select("a", "b")
     return (scratch or Scratch()).written(found.distinct(), "simhash-pairs")
 
 

@@ -13,7 +13,7 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 
-from .batches import starts_of, words
+from .batches import cache, starts_of, words
 
 END = 2  # fixed value: the id that closes a document
 CACHE_RUNS, TOGETHER = 300_000, 512
@@ -103,11 +103,11 @@ class WordTokenizer:
         return ids, own + 1
 
 
-_loaded: dict[str, WordTokenizer] = {}
+_loaded: dict[str, WordTokenizer] = cache()
 
 
 def tokenizer(path: str) -> WordTokenizer:
-    """One for each path and worker process, as its cache pays off over tasks."""
+    """One for each path and worker process, as its cache pays off over tasks of one stage."""
     if path not in _loaded:
         _loaded[path] = WordTokenizer(path)
     return _loaded[path]
