@@ -65,11 +65,15 @@ class Words(NamedTuple):
     per_doc: np.ndarray
 
 
+def coded_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """All words in order, coded, and how many each document has; empty ones, at white space that begins or ends a text, are among them."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    return lists.flatten().dictionary_encode(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def words(texts: pa.Array) -> Words:
     """Words are what ASCII white space separates; a null text has none."""
-    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-    flat = lists.flatten().dictionary_encode()
-    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat, sizes = coded_words(texts)
     doc, index = np.repeat(np.arange(len(sizes)), sizes), flat.indices.to_numpy(zero_copy_only=False)
     distinct = flat.dictionary.to_pylist()
     if "" in distinct:

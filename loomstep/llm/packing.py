@@ -16,7 +16,6 @@ columns are ignored; an empty table gives an empty result; a text longer than a
 
 from __future__ import annotations
 
-import os
 from collections import deque
 from collections.abc import Iterator
 
@@ -26,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import slices, starts_of, tidy
+from .batches import starts_of, tidy
 from .common import bounded_batches, text_of
 from .tokens import END, tokenizer
 
@@ -113,7 +112,6 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
     bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core, and each thread keeps memory of its own
         own = tokenizer(tokenizer_path)
         is_end = np.zeros(len(own.ends), bool)
         is_end[[i for x in SENTENCE_ENDS if (i := own.tokenizer.token_to_id(x)) is not None]] = True
@@ -125,12 +123,10 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
                 kinds = [id_type, *[pa.int64()] * 5, pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
-        for batch in batches:
-            id_type = batch.column(0).type
-            for part in slices(batch, 1, SLICE_BYTES):
-                ids, sizes = own.encode(part.column(1))
-                docs = [(name, 0, n, n) for name, n in zip(part.column(0).to_pylist(), sizes.tolist())]
-                yield from out(packer.add(ids, docs, False))
+        for part, ids, sizes in own.encode_slices(batches, 1, SLICE_BYTES):
+            id_type = part.column(0).type
+            docs = [(name, 0, n, n) for name, n in zip(part.column(0).to_pylist(), sizes.tolist())]
+            yield from out(packer.add(ids, docs, False))
         yield from out(packer.add(np.empty(0, np.uint32), [], True))
 
     return df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(tidy(run, cached=True), f"id {kind}, {SCHEMA}")

@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 import struct
 import zlib
 
@@ -8,7 +9,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from loomstep.llm import packing, token_shards
+from loomstep.llm import packing, token_shards, tokens
 from loomstep.llm.queries import vocabulary
 from loomstep.llm.tokens import END, WordTokenizer
 
@@ -35,6 +36,49 @@ def test_words_in_a_row_are_the_whole_text(whole, edge):
             assert got.tolist() == ids_of(whole, t), t
 
 
+def test_letter_runs_need_no_normaliser(whole):
+    """Each plain letter, alone and in a run, with and without a tail, in both cases; the normalising tokenizer is not asked."""
+    letters = [c for k in range(0xD7A4) if re.match(tokens.PLAIN, c := chr(k))]
+    runs = [*letters, *("".join(letters[k : k + 9]) for k in range(0, len(letters), 7)), "ÀÉß", "ЖЁй", "ΣΑΣ", "Ÿž"]
+    texts = [f"{r} {r.swapcase() if r.isascii() else r}.,) ab{r}" for r in runs]
+    own = WordTokenizer(vocabulary())
+    own.encode(pa.array(["a.,)"]))
+    own.tokenizer = None
+    ids, sizes = own.encode(pa.array(texts))
+    for t, got, want in zip(texts, np.split(ids, np.cumsum(sizes)[:-1]), whole.encode_batch(texts, add_special_tokens=False)):
+        assert got.tolist() == [*want.ids, END], t
+
+
+def test_runs_that_come_again_outlive_a_full_cache(whole):
+    own = WordTokenizer(vocabulary(), cache_runs=50)
+    say = lambda k: pa.array([f"Often, seen {' '.join('x' + chr(97 + i % 26) * (2 + i // 26) for i in range(k, k + 30))}"])
+    for k in (0, 30, 60):
+        ids, _ = own.encode(say(k))
+        assert ids.tolist() == ids_of(whole, say(k)[0].as_py())
+    more = pa.array([None, "", " \n", "a  b "])
+    for _ in range(2):
+        assert own.encode(more)[0].tolist() == [END, END, END, *ids_of(whole, "a b")]
+    assert len(own.place) < 50
+    own = WordTokenizer(vocabulary(), cache_runs=50)
+    for texts in (say(0), say(30), more):
+        own.encode(texts)
+    assert {"often", ",", "seen", "a", "b"} <= own.place.keys() and len(own.place) < 50
+
+
+def test_slices_are_encoded_together(whole, monkeypatch):
+    own, asked = WordTokenizer(vocabulary()), []
+    monkeypatch.setattr(own, "encode", lambda texts, encode=own.encode: asked.append(len(texts)) or encode(texts))
+    texts = [None, "", "one two", "three " * 400, "four", None, "x " * 3000, "five six", "", "seven"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(t, pa.string())], ["t"]) for t in (texts[:4], [], texts[4:5], texts[5:])]
+    monkeypatch.setattr(tokens, "ENCODED_BYTES", 3000)
+    got = list(own.encode_slices(batches, 0, 1000))
+    assert [t for x, _, _ in got for t in x.column(0).to_pylist()] == texts and max(x.num_rows for x, _, _ in got) > 1
+    for x, ids, sizes in got:
+        assert ids.tolist() == [i for t in x.column(0).to_pylist() for i in ids_of(whole, t)] and len(sizes) == x.num_rows
+    assert asked == [6, 1, 3] and len(got) > len(asked)
+    assert list(own.encode_slices([], 0, 10)) == []
+
+
 def test_pieces_cover_all_ids(whole, edge, clashing, empty):
     got = packing.pack(clashing, vocabulary(), window=256).collect()
     want = sorted((str(r["doc_id"]), len(ids_of(whole, r["text"])), zlib.crc32(struct.pack(f"<{len(x)}I", *x))) for r in edge.collect() for x in [ids_of(whole, r["text"])])
