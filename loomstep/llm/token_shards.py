@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .batches import slices, starts_of
+from .batches import starts_of
 from .common import Scratch, new_path, text_of, written
 from .packing import SLICE_BYTES
 from .tokens import END, tokenizer
@@ -84,17 +84,15 @@ def sequences(df: DataFrame, tokenizer_path: str, id_col: str, text_col: str, le
                 ["part", "place", "n_tokens", "docs", "ids"],
             )
 
-        for batch in batches:
-            id_type = batch.column(0).type
-            for piece in slices(batch, 1, SLICE_BYTES):
-                more, sizes = own.encode(piece.column(1))
-                ends = np.r_[ends, len(ids) + np.cumsum(sizes)]
-                ids, names = np.concatenate([ids, more]), names + piece.column(0).to_pylist()
-                if count := len(ids) // length:
-                    yield out(count, count * length)
-                    place, used = place + count, count * length
-                    gone = int(np.searchsorted(ends, used, "right"))
-                    ids, names, ends = ids[used:], names[gone:], ends[gone:] - used
+        for piece, more, sizes in own.encode_slices(batches, 1, SLICE_BYTES):
+            id_type = piece.column(0).type
+            ends = np.r_[ends, len(ids) + np.cumsum(sizes)]
+            ids, names = np.concatenate([ids, more]), names + piece.column(0).to_pylist()
+            if count := len(ids) // length:
+                yield out(count, count * length)
+                place, used = place + count, count * length
+                gone = int(np.searchsorted(ends, used, "right"))
+                ids, names, ends = ids[used:], names[gone:], ends[gone:] - used
         if real := len(ids):
             ids = np.r_[ids, np.full(length - real, END, np.uint32)]
             yield out(1, real)

@@ -146,6 +146,20 @@ def test_shards_round_trip(whole, edge, clashing, empty, tmp_path):
     assert token_shards.write_token_shards(empty, vocabulary(), f"file://{tmp_path}/none").count() == 0
 
 
+def test_small_batches_are_tokenised_together(whole, edge, monkeypatch):
+    own, asked, runs = WordTokenizer(vocabulary()), [], []
+    monkeypatch.setattr(own, "encode", lambda texts, encode=own.encode: asked.append(len(texts)) or encode(texts))
+    monkeypatch.setattr(token_shards, "tokenizer", lambda path: own)
+    monkeypatch.setattr(token_shards.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 3})())
+    monkeypatch.setattr(type(edge), "mapInArrow", lambda self, run, schema: runs.append(run))
+    token_shards.sequences(edge, vocabulary(), "doc_id", "text", 16)
+    texts = [f"of {k} words" for k in range(40)]
+    rows = [r for b in runs[0](pa.record_batch([[k], [t]], ["id", "text"]) for k, t in enumerate(texts)) for r in b.to_pylist()]
+    got = [i for r in rows for i in np.frombuffer(pa.Codec(*token_shards.CODEC).decompress(r["ids"], 32), "<u2")[: r["n_tokens"]].tolist()]
+    assert asked == [40] and got == [i for t in texts for i in ids_of(whole, t)]
+    assert [r["place"] for r in rows] == list(range(len(rows))) and {k for r in rows for k in r["docs"]} == set(range(40))
+
+
 def test_a_vocabulary_too_large_is_refused(edge, monkeypatch, tmp_path):
     class Large:
         ends = np.zeros((1 << 16) + 1, bool)
