@@ -65,6 +65,11 @@ def test_runs_that_come_again_outlive_a_full_cache(whole):
     assert {"often", ",", "seen", "a", "b"} <= own.place.keys() and len(own.place) < 50
 
 
+def test_a_mark_that_lower_case_brings_joins_its_tail(whole):
+    ids, _ = WordTokenizer(vocabulary()).encode(pa.array(["İ? oİ.,", "Kİ, x"], pa.string()))
+    assert ids.tolist() == ids_of(whole, "İ? oİ.,") + ids_of(whole, "Kİ, x")
+
+
 def test_slices_are_encoded_together(whole, monkeypatch):
     own, asked = WordTokenizer(vocabulary()), []
     monkeypatch.setattr(own, "encode", lambda texts, encode=own.encode: asked.append(len(texts)) or encode(texts))
