@@ -2,8 +2,8 @@
 
 The tokenizer drops white space and never joins what ASCII white space separates, nor a run of letters and the punctuation
 behind it. So the ids of a text are those of its words in a row, and most words are a run of letters and a tail. Arrow parts
-the distinct words of a slice. Runs are cached; those that the cache has not seen are encoded together, many in one text, and
-told apart by the marker that ends each run's last token.
+the distinct words of a slice. Runs are cached, up to a number of runs and of ids; those that the cache has not seen are encoded
+together, many in one text, and told apart by the marker that ends each run's last token.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ import pyarrow.compute as pc
 from .batches import cache, coded_words, slices, starts_of
 
 END = 2  # fixed value: the id that closes a document
-CACHE_RUNS, TOGETHER = 600_000, 512
-ENCODED_BYTES = 8 << 20
+CACHE_RUNS, CACHE_IDS, TOGETHER = 200_000, 2 << 20, 512
+ENCODED_BYTES, ENCODED_TEXTS = 2 << 20, 16
 TAIL = ".,;:!?()[]{}<>|*&%$#@+=~^_/\\\"-"  # no apostrophe: it may begin a contraction
 # Letters of all Unicode versions that NFC leaves alone next to each other, each with one lower-case form.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿĀ-įı-ſΑ-ΡΣ-Ωα-ωЀ-џ\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
@@ -30,7 +30,7 @@ RUN_END = "</w>"  # fixed value: how a token that ends a run is written
 
 
 class WordTokenizer:
-    def __init__(self, path: str, cache_runs: int = CACHE_RUNS) -> None:
+    def __init__(self, path: str, cache_runs: int = CACHE_RUNS, cache_ids: int = CACHE_IDS) -> None:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
@@ -39,7 +39,7 @@ class WordTokenizer:
         # For runs of LETTERS in lower case there is nothing to normalise, and white space alone parts them.
         self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.cache_runs = cache_runs
+        self.cache_runs, self.cache_ids = cache_runs, cache_ids
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(RUN_END)]] = True
@@ -51,18 +51,21 @@ class WordTokenizer:
         self.start, self.size, self.slices = (np.zeros(1 << 16, np.int64) for _ in range(3))
 
     def _shrink(self) -> None:
-        """Keep what more than one slice had, if that is half the cache or less. Most runs of a long tail never come again."""
+        """Keep what more than one slice had, if that is half the cache or less. Most runs of a long tail never come again, and
+        long ones (whole sentences, where no space parts words) fill the cache by their ids."""
         place, old = self.place, self.slices[: len(self.place)] > 1
         old[0] = False
         places = np.flatnonzero(old)
         names = list(itertools.compress(place, old))  # places are in the order of the dictionary
         ids, size = self._gather(places)
         self._clear()
-        if 2 * len(names) <= self.cache_runs:
+        if 2 * len(names) <= self.cache_runs and 2 * len(ids) <= self.cache_ids:
             self._keep(names, ids, size)
 
     def _ids(self, tokenizer: object, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, np.uint32) for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """A few texts at a time: until its ids are read, an encoding holds over a hundred bytes for each."""
+        parts = (texts[k : k + ENCODED_TEXTS] for k in range(0, len(texts), ENCODED_TEXTS))
+        return [np.array(x.ids, np.uint32) for part in parts for x in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
 
     def _keep(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         n, total = len(self.place), len(ids)
@@ -110,7 +113,7 @@ class WordTokenizer:
         return places
 
     def _distinct(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.place) > self.cache_runs:
+        if len(self.place) > self.cache_runs or self.used > self.cache_ids:
             self._shrink()
         distinct = distinct.cast(pa.string())
         run = pc.ascii_rtrim(distinct, characters=TAIL)

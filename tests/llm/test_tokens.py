@@ -65,6 +65,29 @@ def test_runs_that_come_again_outlive_a_full_cache(whole):
     assert {"often", ",", "seen", "a", "b"} <= own.place.keys() and len(own.place) < 50
 
 
+def test_long_runs_take_bounded_memory(whole):
+    """Where no space parts words, runs are sentences that never come again: neither the cache nor one call of the tokenizer holds many ids."""
+    rng, own, asked = random.Random(5), WordTokenizer(vocabulary()), []
+
+    class Asked:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, texts, **how):
+            asked.append(sum(map(len, texts)))
+            return self.tokenizer.encode_batch_fast(texts, **how)
+
+    own.plain = Asked(own.plain)
+    say = lambda: " ".join("".join(map(chr, rng.choices(range(0x4E00, 0x5300), k=40))) for _ in range(15_000))
+    for _ in range(4):
+        ids, _ = own.encode(pa.array([text := say()]))
+        assert own.used <= tokens.CACHE_IDS + len(ids) and own.used == own.size[: len(own.place)].sum()
+    assert ids.tolist() == ids_of(whole, text)
+    assert max(asked) <= 16 * 512 * 41 < len(text)
+    ids, _ = own.encode(pa.array(["seen , seen"]))
+    assert ids.tolist() == ids_of(whole, "seen , seen") and own.used < 100
+
+
 def test_a_mark_that_lower_case_brings_joins_its_tail(whole):
     ids, _ = WordTokenizer(vocabulary()).encode(pa.array(["İ? oİ.,", "Kİ, x"], pa.string()))
     assert ids.tolist() == ids_of(whole, "İ? oİ.,") + ids_of(whole, "Kİ, x")
